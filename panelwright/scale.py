@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Rows up to which a table may be broadcast. The check counts at most this many rows plus one.
@@ -27,21 +27,24 @@ def at_most(df: DataFrame, limit: int) -> bool:
     return df.limit(limit + 1).count() <= limit
 
 
-def written(df: DataFrame) -> DataFrame:
-    """Write ``df`` as parquet into the cluster's checkpoint folder and read it back.
-
-    Cuts the lineage in a way that survives lost executors, and lets later passes
-    read only the columns they need. A temporary folder is used only when the
-    session names no ``spark.checkpoint.dir``, as in tests.
-    """
-    spark = df.sparkSession
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder the session names, or a temporary one where it names none (as in tests)."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = tempfile.mkdtemp(prefix="panelwright-")
         spark.conf.set("spark.checkpoint.dir", base)
-    path = f"{base.rstrip('/')}/panel-{uuid.uuid4().hex}"
+    return base.rstrip("/")
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Write ``df`` as parquet into the checkpoint folder and read it back.
+
+    Cuts the lineage in a way that survives lost executors, and lets later passes
+    read only the columns they need.
+    """
+    path = f"{checkpoint_folder(df.sparkSession)}/panel-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def attach(df: DataFrame, stats: DataFrame, keys: list[str], limit: int | None = None,
