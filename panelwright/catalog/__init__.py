@@ -1 +1,7 @@
+"""All registered queries and their SQL twins."""
 
+from panelwright.catalog import (calendars, cross_series, evaluation, forecasts, preparation,  # noqa: F401
+                                 series_windows)
+from panelwright.catalog.base import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

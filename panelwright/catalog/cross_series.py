@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from panelwright import scale
 from panelwright.catalog.base import R, SPEC, dense, gappy, panel, r, register
-from panelwright.operators import cleanup, cross, windows
-from panelwright.plans.features import build_features, raw_features
+from panelwright.functions.numeric import in_order
+from panelwright.operators import cleanup, cross
+from panelwright.plans.features import build_features
 
 KEY = ["sku", "date"]
 
@@ -163,8 +164,7 @@ SELECT sku, date, {R('coalesce(sales, s)')} AS sales, coalesce(promo_flag, 0) AS
        {R('least(10.0, greatest(-10.0, coalesce(sales_growth, 0.0)))')} AS sales_growth, {R('least(1e6, coalesce(big, b))')} AS big
 FROM raw_, m""")
 def clean_columns(spark, sf):
-    df, w = dense(spark, sf), None
-    from panelwright.functions.numeric import in_order
+    df = dense(spark, sf)
     before = F.lag("sales").over(in_order(SPEC))
     df = df.select(*KEY, "sales", "promo_flag", F.col("special_event").alias("is_event"), "price",
                    F.when(F.col("sales").isNotNull(), F.col("price") / 1000).alias("price_rank"),

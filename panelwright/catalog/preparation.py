@@ -104,10 +104,10 @@ def min_history(spark, sf):
 
 
 @register("drop_zero_series", """
-WITH low AS (SELECT sku, date, greatest(sales - 150, 0) AS sales FROM panel)
+WITH low AS (SELECT sku, date, greatest(sales - 48, 0) AS sales FROM panel)
 SELECT * FROM low WHERE sku IN (SELECT sku FROM low WHERE sales > 0)""")
 def drop_zero_series(spark, sf):
-    low = panel(spark, sf).withColumn("sales", F.greatest(F.col("sales") - 150, F.lit(0.0)))
+    low = panel(spark, sf).withColumn("sales", F.greatest(F.col("sales") - 48, F.lit(0.0)))
     return prep.drop_zero_series(low, SPEC).select(*KEY, "sales")
 
 

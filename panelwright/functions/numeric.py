@@ -40,7 +40,7 @@ def clip(x: Column, lo: float | Column | None = None, hi: float | Column | None
 
 
 def finite_or_null(x: Column) -> Column:
-    return F.when(~F.isnan(x) & (F.abs(x) != F.lit(math.inf)), x)
+    return F.when(F.abs(x) < F.lit(math.inf), x)      # NaN orders above infinity
 
 
 def ratio_change(now: Column, then: Column) -> Column:
@@ -63,9 +63,8 @@ def slope_at(before: Column, x: Column, after: Column, first: Column, last: Colu
     return (F.when(first, after - x).when(last, x - before).otherwise((after - before) / 2))
 
 
-def pop_variance_of(values: list[Column]) -> Column:
-    """Population variance of the non-null entries among a fixed list of columns."""
-    arr = F.filter(F.array(*values), lambda v: v.isNotNull())
-    n = F.size(arr)
-    mean = F.try_divide(F.aggregate(arr, F.lit(0.0), lambda a, v: a + v), n)
-    return F.try_divide(F.aggregate(arr, F.lit(0.0), lambda a, v: a + (v - mean) * (v - mean)), n)
+def with_position(df: DataFrame, spec: PanelSpec) -> DataFrame:
+    """Add ``_pos`` (1-based row position) and ``_n`` (rows) of each series, unless present."""
+    if "_pos" in df.columns and "_n" in df.columns:
+        return df
+    return df.withColumns({"_pos": F.row_number().over(in_order(spec)), "_n": F.count(F.lit(1)).over(whole(spec))})

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelwright import scale
-from panelwright.functions.numeric import clip, finite_or_null
+from panelwright.functions.numeric import finite_or_null
 from panelwright.spec import PanelSpec
 
 LIMIT = 1e6
@@ -60,17 +60,23 @@ def fit(df: DataFrame, spec: PanelSpec) -> CleanupRules:
     return CleanupRules(tuple(columns), {c: float(medians.get(c) or 0.0) for c in missing})
 
 
+def _within(x: Column, lo: float, hi: float) -> Column:
+    """Bound a plain value; comparisons with NULL fall through, so NULL stays NULL."""
+    return F.when(x > hi, hi).when(x < lo, lo).otherwise(x)
+
+
 def _clean(column: str, value: Column, rules: CleanupRules, target: str) -> Column:
     if column in rules.fill:
         kind = fill_kind(column)
         value = F.coalesce(value, F.lit(rules.fill[column]))
         if kind == "flag":
-            value = value.cast("int")
-        elif kind == "proportion":
-            value = clip(value, 0.0, 1.0)
-        elif kind == "growth":
-            value = clip(value, -10.0, 10.0)
-    return value if column == target else clip(value, -LIMIT, LIMIT)
+            return value.cast("int")
+        if kind == "proportion":
+            return F.least(F.greatest(value, F.lit(0.0)), F.lit(1.0))
+        if kind == "growth":
+            return F.least(F.greatest(value, F.lit(-10.0)), F.lit(10.0))
+        return value if column == target else F.least(F.greatest(value, F.lit(-LIMIT)), F.lit(LIMIT))
+    return value if column == target else _within(value, -LIMIT, LIMIT)
 
 
 def apply(df: DataFrame, spec: PanelSpec, rules: CleanupRules) -> DataFrame:

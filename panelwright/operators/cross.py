@@ -168,26 +168,39 @@ def market_state(df: DataFrame, spec: PanelSpec, source: DataFrame | None = None
     return df.withColumn("market_headwind", F.coalesce("market_headwind", F.lit(0)))
 
 
-def peer_features(df: DataFrame, spec: PanelSpec, source: DataFrame | None = None) -> DataFrame:
-    """Category, brand, subcategory and price features, as far as their columns exist.
+def peer_tables(source: DataFrame, spec: PanelSpec) -> bool:
+    """Whether every group-day table is small: one count of the finest grouping bounds them all."""
+    finest = [c for c in ("category", "brand", "subcategory") if c in source.columns]
+    return scale.at_most(source.select(*finest, spec.ts).distinct(), scale.BROADCAST_ROWS)
 
-    One count of the finest grouping bounds the size of every group-day table.
-    """
-    has, keep, source = set(df.columns), df.columns, df if source is None else source
-    finest = [c for c in ("category", "brand", "subcategory") if c in has]
-    if not finest:
-        return df
-    small = scale.at_most(source.select(*finest, spec.ts).distinct(), scale.BROADCAST_ROWS)
-    if {"category", "price"} <= has:
+
+def peer_inputs(df: DataFrame, spec: PanelSpec, source: DataFrame, small: bool) -> DataFrame:
+    """What must precede the per-series windows: price positions and category totals."""
+    if {"category", "price"} <= set(source.columns):
         df = price_position(df, spec, source)
-    if "category" in has:
+    if "category" in source.columns:
         df = category_total(_category_day(df, spec, source, small), spec, source, small)
+    return df
+
+
+def peer_joins(df: DataFrame, spec: PanelSpec, source: DataFrame, small: bool) -> DataFrame:
+    """Brand and subcategory features, as far as their columns exist."""
+    has = set(source.columns)
     if "brand" in has:
         if "category" in has:
             df = brand_share(df, spec, source, small)
         df = brand_popularity(df, spec, source, small)
     if {"category", "subcategory"} <= has:
         df = subcategory_peers(df, spec, source, small)
-    if "category" in has:
+    return df
+
+
+def peer_features(df: DataFrame, spec: PanelSpec) -> DataFrame:
+    """All category, brand, subcategory and price features of a panel."""
+    source, given = df, df.columns
+    small = peer_tables(source, spec)
+    df = peer_inputs(df, spec, source, small)
+    if "category" in given:
         df = category_dynamics(df, spec)
-    return df.select(*keep, *[c for c in df.columns if c not in keep and not c.startswith("_")])
+    df = peer_joins(df, spec, source, small)
+    return df.drop(*[c for c in df.columns if c.startswith("_") and c not in given])

@@ -11,8 +11,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelwright.functions.numeric import (CUR, UNB, clip, in_order, pop_variance_of, slope_at, whole,
-                                           with_growth)
+from panelwright import scale
+from panelwright.functions.numeric import CUR, UNB, clip, in_order, slope_at, whole, with_growth, with_position
 from panelwright.spec import FeatureOptions, PanelSpec
 
 # Smoothing windows and the row frames of a centred, same-length moving sum.
@@ -49,42 +49,43 @@ def ewm(df: DataFrame, spec: PanelSpec, opts: FeatureOptions = FeatureOptions())
     exponentials stay in range; a block needs only itself and the one before, since
     anything older weighs less than e-80. Plain window sums, no Python worker.
     """
+    keep, names = df.columns, []
     for column, spans in opts.ewm.items():
         if column in df.columns:
-            for span in spans:
-                df = _ewm_one(df, spec, column, 2.0 / (span + 1), f"{column}_ewm_{span}")
-    return df
+            df = _ewm(df, spec, column, {f"{column}_ewm_{span}": 2.0 / (span + 1) for span in spans})
+            names += [f"{column}_ewm_{span}" for span in spans]
+    return df.select(*keep, *names)
 
 
 _BLOCK = 80.0
 
 
-def _ewm_one(df: DataFrame, spec: PanelSpec, column: str, alpha: float, name: str) -> DataFrame:
-    w, keep = in_order(spec), df.columns
-    x = F.col(column)
-    df = df.withColumn("_pos", F.row_number().over(w))
-    seen_at = F.when(x.isNotNull(), F.col("_pos"))
-    df = df.withColumn("_seen", F.last(seen_at, ignorenulls=True).over(w.rowsBetween(UNB, -1)))
-    old = F.pow(F.lit(1.0 - alpha), (F.col("_pos") - F.col("_seen")).cast("double"))
+def _ewm(df: DataFrame, spec: PanelSpec, column: str, alphas: dict[str, float]) -> DataFrame:
+    w, x = in_order(spec), F.col(column)
     observed = x.isNotNull()
-    df = df.withColumns({
+    df = with_position(df, spec)
+    df = df.withColumn("_seen", F.last(F.when(observed, F.col("_pos")), ignorenulls=True).over(w.rowsBetween(UNB, -1)))
+    steps = {}
+    for name, alpha in alphas.items():
+        old = F.pow(F.lit(1.0 - alpha), (F.col("_pos") - F.col("_seen")).cast("double"))
         # a carry below e-60 cannot show in a double; the clamp keeps blocks contiguous
-        "_step": F.when(observed & F.col("_seen").isNotNull(),
-                        F.greatest(F.lit(-60.0), F.log(old / (old + alpha)))).otherwise(0.0),
-        "_gain": F.when(observed, F.when(F.col("_seen").isNull(), x).otherwise(x * alpha / (old + alpha))).otherwise(0.0),
-    })
-    df = df.withColumn("_level", F.sum("_step").over(w.rowsBetween(UNB, CUR)))
-    df = df.withColumn("_block", F.floor(-F.col("_level") / _BLOCK).cast("int"))
-    df = df.withColumn("_rel", F.col("_level") + F.col("_block") * F.lit(_BLOCK))
-    df = df.withColumn("_part", F.col("_gain") * F.exp(-F.col("_rel")))
-    block_rows = in_order(spec, "_block")
-    blocks = whole(spec).orderBy("_block")
-    df = df.withColumns({
-        "_here": F.sum("_part").over(block_rows.rowsBetween(UNB, CUR)),
-        "_older": F.sum("_part").over(blocks.rangeBetween(-1, -1)),
-    })
-    mean = F.exp("_rel") * (F.col("_here") + F.lit(math.exp(-_BLOCK)) * F.coalesce(F.col("_older"), F.lit(0.0)))
-    return df.withColumn(name, F.when(observed | F.col("_seen").isNotNull(), mean)).select(*keep, name)
+        steps[f"_step_{name}"] = F.when(observed & F.col("_seen").isNotNull(), F.greatest(
+            F.lit(-60.0), F.log(old / (old + alpha)))).otherwise(0.0)
+        steps[f"_gain_{name}"] = F.when(observed, F.when(F.col("_seen").isNull(), x).otherwise(
+            x * alpha / (old + alpha))).otherwise(0.0)
+    df = df.withColumns(steps)
+    df = df.withColumns({f"_level_{n}": F.sum(f"_step_{n}").over(w.rowsBetween(UNB, CUR)) for n in alphas})
+    for name in alphas:
+        level = F.col(f"_level_{name}")
+        df = df.withColumn("_block", F.floor(-level / _BLOCK).cast("int"))
+        df = df.withColumn("_rel", level + F.col("_block") * F.lit(_BLOCK))
+        df = df.withColumn("_part", F.col(f"_gain_{name}") * F.exp(-F.col("_rel")))
+        # both windows run on the one order (series, block, day)
+        df = df.withColumn("_here", F.sum("_part").over(in_order(spec, "_block").rowsBetween(UNB, CUR)))
+        df = df.withColumn("_older", F.sum("_part").over(whole(spec).orderBy("_block").rangeBetween(-1, -1)))
+        mean = F.exp("_rel") * (F.col("_here") + F.lit(math.exp(-_BLOCK)) * F.coalesce(F.col("_older"), F.lit(0.0)))
+        df = df.withColumn(name, F.when(observed | F.col("_seen").isNotNull(), mean)).drop("_block", "_rel", "_part", "_here", "_older")
+    return df
 
 
 def trend(df: DataFrame, spec: PanelSpec) -> DataFrame:
@@ -96,12 +97,11 @@ def trend(df: DataFrame, spec: PanelSpec) -> DataFrame:
     ahead by half a window. Series under 28 rows get 0 throughout.
     """
     w, own, keep, x = in_order(spec), whole(spec), df.columns, F.col(spec.target)
-    df = df.withColumns({"_pos": F.row_number().over(w).cast("double"), "_n": F.count(F.lit(1)).over(own),
-                         "_before": F.lag(x).over(w), "_after": F.lead(x).over(w)})
+    df = with_position(df, spec).withColumns({"_before": F.lag(x).over(w), "_after": F.lead(x).over(w)})
     first, last = F.col("_pos") == 1, F.col("_pos") == F.col("_n")
     df = df.withColumn("_grad", F.coalesce(slope_at(F.col("_before"), x, F.col("_after"), first, last), F.lit(0.0)))
     df = df.withColumns({
-        "_cov": F.covar_pop(x, F.col("_pos")).over(own), "_vx": F.var_pop(x).over(own),
+        "_cov": F.covar_pop(x, F.col("_pos").cast("double")).over(own), "_vx": F.var_pop(x).over(own),
         "_vp": F.var_pop("_pos").over(own), "_seen": F.count(x).over(own),
         **{f"sales_velocity_{k}d": F.sum("_grad").over(w.rowsBetween(lo, hi)) / k
            for k, (lo, hi) in VELOCITY_FRAMES.items()}})
@@ -127,30 +127,35 @@ def change_points(df: DataFrame, spec: PanelSpec) -> DataFrame:
     Can be infinite until cleanup; 0 where undefined and on series under 21 rows."""
     w, keep, x = in_order(spec), df.columns, F.col(spec.target)
     week = w.rowsBetween(-6, CUR)
-    df = df.withColumn("_var", F.when(F.count(x).over(week) == 7, F.var_samp(x).over(week)))
-    df = with_growth(df, "_var", {"_change": 7}, w).withColumn("_n", F.count(F.lit(1)).over(whole(spec)))
+    df = with_position(df, spec).withColumn("_var", F.when(F.count(x).over(week) == 7, F.var_samp(x).over(week)))
+    df = with_growth(df, "_var", {"_change": 7}, w)
     score = F.when(F.col("_n") >= MIN_CHANGE_ROWS, F.coalesce("_change", F.lit(0.0))).otherwise(0.0)
     return df.withColumn("change_point_score", score).select(*keep, "change_point_score")
 
 
-def seasonality(df: DataFrame, spec: PanelSpec) -> DataFrame:
-    """``weekly_seasonality`` and ``monthly_seasonality``: variance of the weekday (day of
-    month) means relative to the series mean; 0 on series under 28 rows or without sales."""
-    own, keep, x = whole(spec), df.columns, F.col(spec.target)
-    weekday, day = F.weekday(spec.ts), F.dayofmonth(spec.ts)
-    df = df.withColumns({
-        "_n": F.count(F.lit(1)).over(own), "_mean": F.avg(x).over(own),
-        **{f"_w{i}": F.avg(F.when(weekday == i, x)).over(own) for i in range(7)},
-        **{f"_d{i}": F.avg(F.when(day == i, x)).over(own) for i in range(1, 32)}})
+def seasonality_table(df: DataFrame, spec: PanelSpec) -> DataFrame:
+    """One row per series: spread of its weekday and of its day-of-month means."""
+    x = F.col(spec.target)
 
-    def strength(parts: list[str]) -> Column:
-        spread = F.when(F.col("_mean") > 0, pop_variance_of([F.col(p) for p in parts])).otherwise(0.0)
-        return F.when(F.col("_n") < 28, 0.0).otherwise(F.try_divide(spread, F.col("_mean") + 1e-6))
+    def spread(part: Column, name: str) -> DataFrame:
+        means = df.select(spec.id, part.alias("_part"), spec.target).groupBy(spec.id, "_part").agg(F.avg(x).alias("_m"))
+        return means.groupBy(spec.id).agg(F.var_pop("_m").alias(name))
 
-    return df.withColumns({
-        "weekly_seasonality": strength([f"_w{i}" for i in range(7)]),
-        "monthly_seasonality": strength([f"_d{i}" for i in range(1, 32)]),
-    }).select(*keep, "weekly_seasonality", "monthly_seasonality")
+    level = df.groupBy(spec.id).agg(F.count(F.lit(1)).alias("_n"), F.avg(x).alias("_mean"))
+    both = level.join(spread(F.weekday(spec.ts), "_weekly"), spec.id).join(spread(F.dayofmonth(spec.ts), "_monthly"), spec.id)
+
+    def strength(variance: str) -> Column:
+        value = F.when(F.col("_mean") > 0, F.col(variance)).otherwise(0.0)
+        return F.when(F.col("_n") < 28, 0.0).otherwise(F.try_divide(value, F.col("_mean") + 1e-6))
+
+    return both.select(spec.id, strength("_weekly").alias("weekly_seasonality"),
+                       strength("_monthly").alias("monthly_seasonality"))
+
+
+def seasonality(df: DataFrame, spec: PanelSpec, source: DataFrame | None = None) -> DataFrame:
+    """``weekly_seasonality`` and ``monthly_seasonality``: variance of the weekday (day of
+    month) means relative to the series mean; 0 on series under 28 rows or without sales."""
+    return scale.attach_series(df, seasonality_table(df if source is None else source, spec), spec.id)
 
 
 def promo_effect(df: DataFrame, spec: PanelSpec) -> DataFrame:
@@ -173,7 +178,7 @@ def promo_frequency(df: DataFrame, spec: PanelSpec) -> DataFrame:
 def days_since_promo(df: DataFrame, spec: PanelSpec) -> DataFrame:
     """``days_since_last_promo``: rows since the last promotion row, 0 on it, 999 before the first."""
     w, keep = in_order(spec), df.columns
-    df = df.withColumn("_pos", F.row_number().over(w))
+    df = with_position(df, spec)
     seen = F.last(F.when(F.col("promo_flag") == 1, F.col("_pos")), ignorenulls=True).over(w.rowsBetween(UNB, CUR))
     return df.withColumn("days_since_last_promo", F.coalesce(F.col("_pos") - seen, F.lit(NO_PROMO_YET))).select(
         *keep, "days_since_last_promo")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 from panelwright import scale
 from panelwright.functions import calendar as cal
+from panelwright.functions.numeric import with_position
 from panelwright.operators import cleanup, cross, recent, windows
 from panelwright.spec import FeatureOptions, PanelSpec
 
@@ -13,22 +14,29 @@ from panelwright.spec import FeatureOptions, PanelSpec
 def raw_features(df: DataFrame, spec: PanelSpec, opts: FeatureOptions = FeatureOptions()) -> DataFrame:
     """All feature columns before cleanup.
 
-    Group-day joins come first and per-series windows last, so the windows share one
-    exchange on the series id. ``df`` is read once per group-day aggregate, each time
-    with the few columns it needs: pass a stored panel when it is expensive to derive.
+    Price ranks and category totals come first, then every per-series window behind one
+    exchange on the series id while rows are still narrow, then the remaining group-day
+    joins (no exchange when their tables may be broadcast) and the calendar expressions.
+    ``df`` is also read once per group-day aggregate, each time with the few columns it
+    needs: pass a stored panel when it is expensive to derive.
     """
-    source = df
-    df = cross.peer_features(df, spec, source)
-    df = cross.market_state(df, spec, source)
-    df = cal.holiday_distance(df, spec)
-    df = cal.fourier_parts(cal.cyclic_parts(cal.calendar_parts(df, spec), spec), spec)
-    df = cal.holiday_neighbours(cal.holiday_flag(df, spec), spec)
-    for step in (windows.lags, windows.rolling, windows.ewm):
-        df = step(df, spec, opts)
-    df = windows.seasonality(windows.change_points(windows.trend(df, spec), spec), spec)
+    source, given = df, df.columns
+    tables = cross.peer_tables(source, spec)
+    df = cross.peer_inputs(df, spec, source, tables)
+    df = with_position(df, spec)
+    if "category" in given:
+        df = cross.category_dynamics(df, spec)
+    df = windows.ewm(df, spec, opts)
+    df = windows.change_points(windows.trend(df, spec), spec)
     df = windows.promo_features(df, spec)
     df = recent.volatility(recent.decline(df, spec), spec)
-    return cal.interactions(df, spec)
+    df = windows.rolling(windows.lags(df, spec, opts), spec, opts)
+    df = cal.holiday_neighbours(cal.holiday_distance(df, spec), spec)
+    df = cross.peer_joins(df, spec, source, tables)
+    df = cross.market_state(windows.seasonality(df, spec, source), spec, source)
+    df = cal.fourier_parts(cal.cyclic_parts(cal.calendar_parts(df, spec), spec), spec)
+    df = cal.interactions(cal.holiday_flag(df, spec), spec)
+    return df.drop(*[c for c in df.columns if c.startswith("_") and c not in given])
 
 
 def build_features(df: DataFrame, spec: PanelSpec, opts: FeatureOptions = FeatureOptions(),

@@ -26,20 +26,29 @@ class Trained:
     offsets: DataFrame
 
 
-def features_of(raw: DataFrame, settings: Settings, rules: cleanup.CleanupRules | None = None):
-    panel = scale.written(prepare_panel(raw, settings.panel, settings.prep))
-    return build_features(panel, settings.panel, settings.features, rules)
+def cleaned_history(raw: DataFrame, settings: Settings,
+                    rules: cleanup.CleanupRules | None = None) -> tuple[DataFrame, cleanup.CleanupRules]:
+    """Prepared and cleaned panel with the columns that forecasting and scoring read.
+
+    The closed-form models use the target alone, so the other features are not built here
+    (see ``plans.features``); the cleanup rules are the same as for the full table.
+    """
+    spec = settings.panel
+    needed = [c for c in (spec.id, spec.ts, spec.target, "promo_flag") if c in raw.columns]
+    panel = scale.written(prepare_panel(raw, spec, settings.prep).select(*needed))
+    rules = rules or cleanup.fit(panel, spec)
+    return cleanup.apply(panel, spec, rules), rules
 
 
 def train(raw: DataFrame, settings: Settings) -> Trained:
     """Fit cleanup, score the models on rolling-origin cuts, derive weights and quantiles."""
-    featured, rules = features_of(raw, settings)
-    return _train(featured, rules, settings)
+    history, rules = cleaned_history(raw, settings)
+    return _train(history, rules, settings)
 
 
-def _train(featured: DataFrame, rules: cleanup.CleanupRules, settings: Settings) -> Trained:
+def _train(cleaned: DataFrame, rules: cleanup.CleanupRules, settings: Settings) -> Trained:
     spec, opts = settings.panel, settings.forecast
-    history, _ = frames.train_test_split(featured.select(spec.id, spec.ts, spec.target), spec, opts.test_size)
+    history, _ = frames.train_test_split(cleaned.select(spec.id, spec.ts, spec.target), spec, opts.test_size)
     tested = scale.written(forecast.backtest(history, spec, opts))
     scores = forecast.leaderboard(tested)
     if not opts.ensemble:      # all weight on the best model
@@ -64,22 +73,24 @@ def _forecast(history: DataFrame, trained: Trained, settings: Settings) -> DataF
 
 def predict(raw: DataFrame, trained: Trained, settings: Settings) -> DataFrame:
     """Forecast the days after the panel, cleaned with the statistics of training."""
-    featured, _ = features_of(raw, settings, trained.rules)
-    return _forecast(featured.select(settings.panel.id, settings.panel.ts, settings.panel.target), trained, settings)
+    cleaned, _ = cleaned_history(raw, settings, trained.rules)
+    return _forecast(cleaned, trained, settings)
 
 
-def train_predict(raw: DataFrame, settings: Settings) -> dict[str, DataFrame]:
-    """Train, forecast the held-out days from the training cut, and score them by date.
+def train_predict(raw: DataFrame, settings: Settings, alignment: str = "date") -> dict[str, DataFrame]:
+    """Train, forecast and score.
 
-    Returns ``forecast``, ``metrics``, ``report``, ``leaderboard`` and the aligned rows.
+    By ``date``, the held-out days are forecast from the training cut and matched by day.
+    By ``position``, the forecast continues the whole history and is scored against the
+    last held-out rows in order. Returns ``forecast``, ``metrics``, ``report``,
+    ``leaderboard`` and the ``aligned`` rows.
     """
     spec, opts = settings.panel, settings.forecast
-    featured, rules = features_of(raw, settings)
-    featured = scale.written(featured)
-    trained = _train(featured, rules, settings)
-    history, test = frames.train_test_split(featured, spec, opts.test_size)
-    predicted = _forecast(history.select(spec.id, spec.ts, spec.target), trained, settings)
-    aligned = evaluate.align(test, predicted, spec, opts.horizon)
+    cleaned, rules = cleaned_history(raw, settings)
+    trained = _train(cleaned, rules, settings)
+    history, test = frames.train_test_split(cleaned, spec, opts.test_size)
+    predicted = _forecast(history if alignment == "date" else test, trained, settings)
+    aligned = evaluate.align(test, predicted, spec, opts.horizon, how=alignment)
     scored = evaluate.metrics(aligned, evaluate.count_series(test, spec))
     spark = raw.sparkSession
     board = spark.createDataFrame(sorted(trained.scores.items()), "model string, score_val double")
@@ -105,6 +116,10 @@ def run(spark: SparkSession, settings: Settings, mode: str = "train_predict") ->
     paths = settings.paths
     raw = tables.read_panel(spark, paths["train"], settings.panel)
     prepare.assert_unique_keys(raw, settings.panel)
+    if "features_path" in paths:
+        panel = scale.written(prepare_panel(raw, settings.panel, settings.prep))
+        featured, _ = build_features(panel, settings.panel, settings.features)
+        tables.write_features(featured, paths["features_path"], settings.panel)
     if mode == "train":
         save(train(raw, settings), spark, paths["model"])
         return {}

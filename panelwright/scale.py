@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 1_000_000
 # Rows of one group up to which a single task may order the group directly.
 GROUP_ROWS = 1_000_000
+# Values of a column up to which an exact percentile may hold them all in one task.
+EXACT_VALUES = 500_000
 # Slices a larger group is cut into, and spread of a join key over tasks.
 SLICES = 64
 SALTS = 32
@@ -65,6 +67,13 @@ def attach(df: DataFrame, stats: DataFrame, keys: list[str], limit: int | None =
     return spread.join(salted.hint("merge"), [*keys, "_salt"], "left").drop("_salt")
 
 
+def attach_series(df: DataFrame, stats: DataFrame, key: str, limit: int | None = None) -> DataFrame:
+    """Left-join one row per series. Broadcast after a row count; otherwise a plain join on the
+    series id, whose rows are bounded by the calendar and which the windows hash by as well."""
+    small = at_most(stats.select(key), BROADCAST_ROWS if limit is None else limit)
+    return df.join(F.broadcast(stats) if small else stats, key, "left")
+
+
 def biggest_group(df: DataFrame, keys: list[str]) -> int:
     """Rows of the largest group (a map-side combined count, one number to the driver)."""
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")) if keys else df.agg(F.count(F.lit(1)).alias("n"))
@@ -136,16 +145,17 @@ def column_medians(df: DataFrame, columns: list[str], limit: int | None = None)
     and an exact count of the rows below and inside proves it. Every pass is one
     scan for all columns and returns a few numbers per column.
     """
-    limit = GROUP_ROWS if limit is None else limit
+    limit = EXACT_VALUES if limit is None else limit
     if not columns:
         return {}
-    first = df.agg(*[F.count(c).alias(f"n_{c}") for c in columns],
-                   *[F.approx_count_distinct(c).alias(f"d_{c}") for c in columns]).first()
+    n = df.agg(*[F.count(c).alias(c) for c in columns]).first().asDict()
+    if max(n.values()) <= limit:
+        return df.agg(*[F.percentile(c, F.lit(0.5)).alias(c) for c in columns]).first().asDict()
+    distinct = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
     result: dict[str, float | None] = {c: None for c in columns}
     # middle ranks (0-based), rows below the bracket, rows inside, distinct values inside, bracket test
-    state = {c: {"n": first[f"n_{c}"], "below": 0, "held": first[f"n_{c}"],
-                 "distinct": first[f"d_{c}"], "slack": 0.001, "in": F.col(c).isNotNull()}
-             for c in columns if first[f"n_{c}"]}
+    state = {c: {"n": n[c], "below": 0, "held": n[c], "distinct": distinct[c], "slack": 0.001,
+                 "in": F.col(c).isNotNull()} for c in columns if n[c]}
     for c, s in state.items():
         s["ranks"] = ((s["n"] - 1) // 2, s["n"] // 2)
 
