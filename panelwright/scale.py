@@ -18,7 +18,7 @@ BROADCAST_ROWS = 1_000_000
 # Rows of one group up to which a single task may order the group directly.
 GROUP_ROWS = 1_000_000
 # Values of a column up to which an exact percentile may hold them all in one task.
-EXACT_VALUES = 500_000
+EXACT_VALUES = 50_000
 # Slices a larger group is cut into, and spread of a join key over tasks.
 SLICES = 64
 SALTS = 32
@@ -139,26 +139,20 @@ def group_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str,
 def column_medians(df: DataFrame, columns: list[str], limit: int | None = None) -> dict[str, float | None]:
     """Exact median of each column (NULL skipped), for tables of any size.
 
-    An exact percentile keeps every distinct value in one task, so it is used
-    only on columns whose (remaining) distinct values fit ``limit``. Wider columns
-    are narrowed first: sketched quantiles give a bracket around the middle ranks,
-    and an exact count of the rows below and inside proves it. Every pass is one
-    scan for all columns and returns a few numbers per column.
+    An exact percentile keeps every distinct value in one task, so it is used only
+    where the distinct values fit ``limit``. Otherwise sketched quantiles give a narrow
+    bracket around the middle ranks, an exact count of the rows below and inside
+    proves it, and the loop goes on inside the bracket. Every pass is one scan for
+    all columns and returns a few numbers per column.
     """
     limit = EXACT_VALUES if limit is None else limit
     if not columns:
         return {}
     n = df.agg(*[F.count(c).alias(c) for c in columns]).first().asDict()
-    if max(n.values()) <= limit:
-        return df.agg(*[F.percentile(c, F.lit(0.5)).alias(c) for c in columns]).first().asDict()
-    distinct = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
     result: dict[str, float | None] = {c: None for c in columns}
     # middle ranks (0-based), rows below the bracket, rows inside, distinct values inside, bracket test
-    state = {c: {"n": n[c], "below": 0, "held": n[c], "distinct": distinct[c], "slack": 0.001,
-                 "in": F.col(c).isNotNull()} for c in columns if n[c]}
-    for c, s in state.items():
-        s["ranks"] = ((s["n"] - 1) // 2, s["n"] // 2)
-
+    state = {c: {"ranks": ((n[c] - 1) // 2, n[c] // 2), "below": 0, "held": n[c], "distinct": n[c],
+                 "slack": 0.002, "in": F.col(c).isNotNull()} for c in columns if n[c]}
     while state:
         ready = [c for c, s in state.items() if s["distinct"] <= limit]
         if ready:
@@ -172,19 +166,22 @@ def column_medians(df: DataFrame, columns: list[str], limit: int | None = None)
             break
         edges = df.agg(*[F.percentile_approx(F.when(s["in"], F.col(c)), F.array(
             F.lit(max(0.0, (s["ranks"][0] - s["below"]) / s["held"] - s["slack"])),
-            F.lit(min(1.0, (s["ranks"][1] - s["below"]) / s["held"] + s["slack"]))), F.lit(10_000)).alias(c)
+            F.lit(min(1.0, (s["ranks"][1] - s["below"]) / s["held"] + s["slack"]))), F.lit(1000)).alias(c)
             for c, s in state.items()]).first()
         tests = {c: s["in"] & F.col(c).between(F.lit(edges[c][0]), F.lit(edges[c][1])) for c, s in state.items()}
         row = df.agg(*[x for c, s in state.items() for x in (
-            F.count_if(s["in"] & (F.col(c) < F.lit(edges[c][0]))).alias(f"b_{c}"),
-            F.count_if(tests[c]).alias(f"h_{c}"),
+            F.count(F.when(s["in"] & (F.col(c) < F.lit(edges[c][0])), 1)).alias(f"b_{c}"),
+            F.count(F.when(tests[c], 1)).alias(f"h_{c}"),
             F.approx_count_distinct(F.when(tests[c], F.col(c))).alias(f"d_{c}"))]).first()
-        for c, s in state.items():
+        for c, s in list(state.items()):
             below, held = s["below"] + row[f"b_{c}"], row[f"h_{c}"]
-            if below <= s["ranks"][0] and s["ranks"][1] < below + held:
-                s.update(below=below, held=held, distinct=row[f"d_{c}"], **{"in": tests[c]})
-            else:
+            if not (below <= s["ranks"][0] and s["ranks"][1] < below + held):
                 s["slack"] *= 4    # the sketch missed a middle rank: widen and look again
+            elif edges[c][0] == edges[c][1]:
+                result[c] = float(edges[c][0])
+                del state[c]
+            else:
+                s.update(below=below, held=held, distinct=row[f"d_{c}"], **{"in": tests[c]})
     return result
 
 
