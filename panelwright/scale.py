@@ -150,38 +150,50 @@ def column_medians(df: DataFrame, columns: list[str], limit: int | None = None)
         return {}
     n = df.agg(*[F.count(c).alias(c) for c in columns]).first().asDict()
     result: dict[str, float | None] = {c: None for c in columns}
-    # middle ranks (0-based), rows below the bracket, rows inside, distinct values inside, bracket test
-    state = {c: {"ranks": ((n[c] - 1) // 2, n[c] // 2), "below": 0, "held": n[c], "distinct": n[c],
-                 "slack": 0.002, "in": F.col(c).isNotNull()} for c in columns if n[c]}
+    # middle ranks (0-based) still open, values found for the others, rows below the bracket,
+    # rows inside it, distinct values inside it, and the bracket as a condition
+    state = {c: {"ranks": sorted({(n[c] - 1) // 2, n[c] // 2}), "found": [], "below": 0, "held": n[c],
+                 "distinct": n[c], "slack": 0.002, "in": F.col(c).isNotNull()} for c in columns if n[c]}
     while state:
         ready = [c for c, s in state.items() if s["distinct"] <= limit]
         if ready:
             held = df.select(*[F.when(state[c]["in"], F.col(c)).alias(c) for c in ready])
-            row = held.agg(*[_nth(c, state[c], rank).alias(f"{c}:{i}")
-                             for c in ready for i, rank in enumerate(state[c]["ranks"])]).first()
+            row = held.agg(*[_nth(c, state[c], rank).alias(f"{c}:{rank}") for c in ready for rank in state[c]["ranks"]]).first()
             for c in ready:
-                result[c] = (float(row[f"{c}:0"]) + float(row[f"{c}:1"])) / 2
-                del state[c]
+                s = state.pop(c)
+                found = s["found"] + [float(row[f"{c}:{rank}"]) for rank in s["ranks"]]
+                result[c] = sum(found) / len(found)
         if not state:
             break
         edges = df.agg(*[F.percentile_approx(F.when(s["in"], F.col(c)), F.array(
             F.lit(max(0.0, (s["ranks"][0] - s["below"]) / s["held"] - s["slack"])),
-            F.lit(min(1.0, (s["ranks"][1] - s["below"]) / s["held"] + s["slack"]))), F.lit(1000)).alias(c)
+            F.lit(min(1.0, (s["ranks"][-1] - s["below"]) / s["held"] + s["slack"]))), F.lit(1000)).alias(c)
             for c, s in state.items()]).first()
-        tests = {c: s["in"] & F.col(c).between(F.lit(edges[c][0]), F.lit(edges[c][1])) for c, s in state.items()}
+        inner = {c: s["in"] & (F.col(c) > F.lit(edges[c][0])) & (F.col(c) < F.lit(edges[c][1])) for c, s in state.items()}
         row = df.agg(*[x for c, s in state.items() for x in (
             F.count(F.when(s["in"] & (F.col(c) < F.lit(edges[c][0])), 1)).alias(f"b_{c}"),
-            F.count(F.when(tests[c], 1)).alias(f"h_{c}"),
-            F.approx_count_distinct(F.when(tests[c], F.col(c))).alias(f"d_{c}"))]).first()
+            F.count(F.when(s["in"] & (F.col(c) == F.lit(edges[c][0])), 1)).alias(f"l_{c}"),
+            F.count(F.when(inner[c], 1)).alias(f"i_{c}"),
+            F.count(F.when(s["in"] & (F.col(c) == F.lit(edges[c][1])), 1)).alias(f"h_{c}"),
+            F.approx_count_distinct(F.when(inner[c], F.col(c))).alias(f"d_{c}"))]).first()
         for c, s in list(state.items()):
-            below, held = s["below"] + row[f"b_{c}"], row[f"h_{c}"]
-            if not (below <= s["ranks"][0] and s["ranks"][1] < below + held):
+            start = s["below"] + row[f"b_{c}"]                  # first rank on the lower edge
+            inside = start + row[f"l_{c}"]                      # first rank above it
+            upper = inside + row[f"i_{c}"]                      # first rank on the upper edge
+            end = inside if edges[c][0] == edges[c][1] else upper + row[f"h_{c}"]
+            if s["ranks"][0] < start or s["ranks"][-1] >= end:
                 s["slack"] *= 4    # the sketch missed a middle rank: widen and look again
-            elif edges[c][0] == edges[c][1]:
-                result[c] = float(edges[c][0])
-                del state[c]
+                continue
+            # ranks on an edge are settled, so the bracket loses its edges in every pass
+            for rank in list(s["ranks"]):
+                if not inside <= rank < upper:
+                    s["found"].append(float(edges[c][0 if rank < inside else 1]))
+                    s["ranks"].remove(rank)
+            if s["ranks"]:
+                s.update({"below": inside, "held": row[f"i_{c}"], "distinct": row[f"d_{c}"], "in": inner[c]})
             else:
-                s.update(below=below, held=held, distinct=row[f"d_{c}"], **{"in": tests[c]})
+                result[c] = sum(s["found"]) / len(s["found"])
+                del state[c]
     return result
 
 
