@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.llm import line_spread, mixing
+from panelwright.llm import line_spread, mixing, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,6 +28,12 @@ def op2_mixing(spark, sf_dir):
     return mixing.allotments(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_quality(spark, sf_dir):
+    """Compression quality score of every document."""
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op7_line_spread(spark, sf_dir):
     """Every document without the lines that stand on many sites."""
