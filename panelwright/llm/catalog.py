@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.llm import line_spread, mixing, quality
+from panelwright.llm import line_spread, mixing, quality, string_tiling
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -54,3 +54,11 @@ kept AS (
 SELECT doc_id, CAST(count(pos) AS BIGINT) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_removed,
        CASE WHEN count(pos) > 0 THEN sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) END AS kept_sha256
 FROM documents LEFT JOIN kept USING (doc_id) GROUP BY doc_id"""
+
+
+@query
+def op8_string_tiling(spark, sf_dir):
+    """The benchmark item that each document covers most, and whether that is contamination."""
+    out = string_tiling.coverage(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), drop=("text",))
+    return out.select("doc_id", "item_id", "coverage", "n_covered", (F.size("tiles") / 3).cast("int").alias("n_tiles"),
+                      (F.col("coverage") >= string_tiling.COVERAGE).alias("contaminated"))

@@ -7,15 +7,14 @@ regression on labelled rows that neither dictionary has seen.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
-import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelwright.llm.passes import add_columns
 from panelwright.scale import written
 
 # Bound of the labelled sample: rows of each class, half of them for its dictionary and half for calibration.
@@ -60,28 +59,18 @@ def _sizes(dictionaries: tuple[bytes, bytes]):
     return sizes
 
 
-def measure(docs: DataFrame, good: bytes, bad: bytes) -> DataFrame:
+def measure(docs: DataFrame, good: bytes, bad: bytes, drop: tuple[str, ...] = ()) -> DataFrame:
     """``docs`` with ``_diff, _ratio`` of its texts: normalised size difference, and size without a dictionary per byte."""
-    place = docs.columns.index("text")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make():
         sizes = _sizes((good, bad))
-        for batch in batches:
-            texts = [(t or "").encode() for t in batch.column(place).to_pylist()]
+
+        def compute(texts: list[bytes]) -> list[np.ndarray]:
             sized = np.array([sizes(t) for t in texts], dtype=np.float64).reshape(-1, 3)
             n = np.array([len(t) for t in texts], dtype=np.float64)
-            diff = (sized[:, 1] - sized[:, 0]) / np.maximum(1, sized[:, 0] + sized[:, 1])
-            ratio = np.where(n > 0, sized[:, 2] / np.maximum(1, n), 1.0)
-            yield pa.RecordBatch.from_arrays([*kept(batch), pa.array(diff), pa.array(ratio)], names=names)
-
-    def kept(batch: pa.RecordBatch) -> list[pa.Array]:
-        return [c for i, c in enumerate(batch.columns) if keep_text or i != place]
-
-    keep_text = len(docs.columns) > 2
-    fields = [f for f in docs.schema.fields if keep_text or f.name != "text"]
-    names = [*[f.name for f in fields], "_diff", "_ratio"]
-    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in fields], "_diff double, _ratio double"])
-    return docs.mapInArrow(run, schema)
+            return [(sized[:, 1] - sized[:, 0]) / np.maximum(1, sized[:, 0] + sized[:, 1]),
+                    np.where(n > 0, sized[:, 2] / np.maximum(1, n), 1.0)]
+        return compute
+    return add_columns(docs, "text", "_diff double, _ratio double", make, drop)
 
 
 def _bases(diff, ratio, knots, top, ones):
@@ -121,13 +110,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> d
     the score is the share of good ones, one half without any.
     """
     sample = written(_sample(labels, sample_rows))
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # 2 * sample_rows ids at most
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])  # 2 * sample_rows ids at most
     lent = rows.where(F.col("lends") & (F.length("text") > 0)).select(
         "quality", F.col("text").substr(F.lit(1) + F.pmod(F.xxhash64("doc_id"), F.greatest(
             F.lit(1), F.length("text") - LENT)).cast("int"), F.lit(LENT)).cast("binary").alias("text"))
     lent = [(r[0], bytes(r[1])) for r in lent.collect()]
     good, bad = (build_dictionary(sorted(t for q, t in lent if q == c)) for c in (1, 0))
-    seen = measure(rows.where(~F.col("lends")).select("doc_id", "text", "quality"), good, bad)
+    seen = measure(rows.where(~F.col("lends")).select("doc_id", "text", "quality"), good, bad, drop=("text",))
     seen = np.array([tuple(r) for r in seen.select("_diff", "_ratio", "quality").collect()], dtype=np.float64).reshape(-1, 3)
     totals = {r[0]: r[1] for r in labels.where(F.col("quality").isin(0, 1) & (fold(F.col("doc_id")) != 0))
               .groupBy("quality").agg(F.count(F.lit(1))).collect()}
@@ -156,7 +145,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE
     with no difference; repeated rows score alike; further columns don't matter; an empty table has no rows.
     """
     model = fit(docs, labels, sample_rows)
-    return (measure(docs.select("doc_id", "text"), model["good"], model["bad"]).withColumn("score", _score(model))
+    return (measure(docs.select("doc_id", "text"), model["good"], model["bad"], drop=("text",)).withColumn("score", _score(model))
             .select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score",
                     (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
                     F.col("_diff").alias("diff"), F.col("_ratio").alias("ratio")))
