@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.llm import line_spread, mixing, quality, string_tiling
+from panelwright.llm import line_spread, mixing, pii, quality, string_tiling
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,6 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_weak_pii(spark, sf_dir):
+    """Personal data in every document."""
+    return pii.find_private(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_mixing(spark, sf_dir):
     """Words the weighted fair mix takes of every document."""
