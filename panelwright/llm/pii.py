@@ -98,7 +98,7 @@ def candidates(text: str) -> list[tuple[str, int, int, bool]]:
     base = [x for x in spans if _fits(x[0], text[x[1]:x[2]])]
     sure = set(base)
     # a run of digits too short for a card says nothing
-    other = [x for x in spans if x not in sure and (x[0] != "card" or x[2] - x[1] >= 12)] + loose
+    other = [x for x in spans if x not in sure and (x[0] != "card" or x[2] - x[1] >= 13)] + loose
     taken = sorted((s, e) for _, s, e in base)
     starts = np.array([s for s, _ in taken])
     reach = np.maximum.accumulate([e for _, e in taken]) if taken else None
