@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.llm import line_spread, mixing, onebit_search, pii, quality, string_tiling
+from panelwright.llm import line_spread, mixing, onebit_search, page_text, pii, quality, string_tiling
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -74,3 +74,9 @@ def op8_string_tiling(spark, sf_dir):
     out = string_tiling.coverage(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), drop=("text",))
     return out.select("doc_id", "item_id", "coverage", "n_covered", (F.size("tiles") / 3).cast("int").alias("n_tiles"),
                       (F.col("coverage") >= string_tiling.COVERAGE).alias("contaminated"))
+
+
+@query
+def op10_page_text(spark, sf_dir):
+    """Main text of every page."""
+    return page_text.extract(table(spark, sf_dir, "pages"))
