@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.llm import line_spread, mixing, onebit_search, page_text, pii, quality, string_tiling
+from panelwright.llm import line_spread, mixing, onebit_search, page_text, pii, quality, seed_extend, string_tiling
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,6 +46,12 @@ def op5_onebit_search(spark, sf_dir):
     return onebit_search.nearest(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op6_seed_extend(spark, sf_dir):
+    """Every document without the passages that a document with a smaller id has."""
+    return seed_extend.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_line_spread(spark, sf_dir):
     """Every document without the lines that stand on many sites."""
