@@ -73,8 +73,8 @@ class Block:
         #: answers by the name of the question, each in the order asked
         self.answers: dict[str, np.ndarray] = {}
         for part in sorted(row.get("answers") or [], key=lambda x: (x["question"], x["slot"])):
-            found = np.frombuffer(zstandard.ZstdDecompressor().decompress(part["answer"]), np.uint32 if part["wide"] else np.uint8)
-            self.answers.setdefault(part["question"], []).append(found)
+            found = np.frombuffer(zstandard.ZstdDecompressor().decompress(part["answer"]), np.dtype(part["kind"]))
+            self.answers.setdefault(part["question"], []).append(found.reshape(-1, part["columns"]) if part["columns"] > 1 else found)
         self.answers = {k: np.concatenate(v) for k, v in self.answers.items()}
 
 
@@ -92,12 +92,12 @@ def each(blocks: DataFrame, fn: Callable[[Block], Iterator[pa.RecordBatch]], sch
 
 
 def ask(blocks: DataFrame, name: str, n_slots: int, question: Callable[[Block], tuple[np.ndarray, np.ndarray]],
-        answer: Callable[[np.ndarray, np.ndarray], np.ndarray], width: int = 8) -> DataFrame:
-    """Answers ``block, question, slot, wide, answer`` for ``with_answers``, written.
+        answer: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, list[float]]], width: int = 8) -> DataFrame:
+    """Answers for ``with_answers``, written: ``block, question, slot, kind, columns, answer, tally``.
 
-    ``question`` gives the distinct hashes of a block in ``asked_order``, and a number for each of them (rows of numbers
-    are allowed). ``answer`` gets the hashes of a slot from all blocks, one block after the other, with their numbers,
-    and gives an array of uint8 or uint32 in this order. Of each hash the lower ``width`` bytes travel.
+    ``question`` gives the distinct hashes of a block in ``asked_order``, and a number for each. ``answer`` gets the hashes
+    of a slot from all blocks, one block after the other, with their numbers, and gives an array in this order, of
+    one or more columns, and a tally that is kept once for each slot. ``width`` bytes of each hash travel.
     """
     def put(block: Block) -> Iterator[pa.RecordBatch]:
         hashes, numbers = question(block)
@@ -112,8 +112,8 @@ def ask(blocks: DataFrame, name: str, n_slots: int, question: Callable[[Block],
             [pa.array(slot[cuts]), pa.array([block.number] * len(cuts)),
              pa.array([kept[s:e].tobytes() for s, e in zip(cuts, ends, strict=True)]),
              pa.array([packer.compress(numbers[s:e].tobytes()) for s, e in zip(cuts, ends, strict=True)]),
-             pa.array([str(numbers.dtype)] * len(cuts)), pa.array([int(numbers[0].size)] * len(cuts))],
-            names=["slot", "block", "hashes", "numbers", "kind", "columns"])
+             pa.array([str(numbers.dtype)] * len(cuts))],
+            names=["slot", "block", "hashes", "numbers", "kind"])
 
     def settle(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("block")
@@ -121,15 +121,22 @@ def ask(blocks: DataFrame, name: str, n_slots: int, question: Callable[[Block],
         many = [len(r) for r in raw]
         wide = np.zeros((sum(many), 8), np.uint8)
         wide[:, :width] = np.concatenate(raw)
-        columns = int(part["columns"].iloc[0])
         numbers = np.concatenate([np.frombuffer(zstandard.ZstdDecompressor().decompress(n), np.dtype(part["kind"].iloc[0])) for n in part["numbers"]])
-        found = answer(wide.view("<u8").ravel(), numbers.reshape(-1, columns) if columns > 1 else numbers)
+        found, tally = answer(wide.view("<u8").ravel(), numbers)
         packer = zstandard.ZstdCompressor(level=1)
         out = [packer.compress(x.tobytes()) for x in np.split(found, np.cumsum(many)[:-1])]
         return pd.DataFrame({"block": part["block"].to_numpy(), "question": name, "slot": part["slot"].to_numpy(),
-                             "wide": found.dtype == np.uint32, "answer": out})
-    asked = each(blocks, put, "slot long, block long, hashes binary, numbers binary, kind string, columns long")
-    return written(asked.groupBy("slot").applyInPandas(settle, "block long, question string, slot long, wide boolean, answer binary"))
+                             "kind": str(found.dtype), "columns": 1 if found.ndim == 1 else found.shape[1], "answer": out,
+                             "tally": [tally] + [None] * (len(out) - 1)})
+    asked = each(blocks, put, "slot long, block long, hashes binary, numbers binary, kind string")
+    return written(asked.groupBy("slot").applyInPandas(
+        settle, "block long, question string, slot long, kind string, columns long, answer binary, tally array<double>"))
+
+
+def tallies(answers: DataFrame, n: int) -> list[float]:
+    """Sums of the ``n`` numbers that the slots have kept."""
+    kept = answers.where(F.col("tally").isNotNull())
+    return [x or 0.0 for x in kept.agg(*[F.sum(F.get("tally", F.lit(i))) for i in range(n)]).first()]
 
 
 def with_answers(blocks: DataFrame, *answers: DataFrame) -> DataFrame:
@@ -137,7 +144,7 @@ def with_answers(blocks: DataFrame, *answers: DataFrame) -> DataFrame:
     every = answers[0]
     for more in answers[1:]:
         every = every.unionByName(more)
-    by_block = every.groupBy("block").agg(F.collect_list(F.struct("question", "slot", "wide", "answer")).alias("answers"))
+    by_block = every.groupBy("block").agg(F.collect_list(F.struct("question", "slot", "kind", "columns", "answer")).alias("answers"))
     return blocks.join(by_block, "block", "left")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.llm import line_spread, mixing, onebit_search, page_text, pii, quality, seed_extend, string_tiling
+from panelwright.llm import deleted_interpolation, line_spread, mixing, onebit_search, page_text, pii, quality, seed_extend, string_tiling
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -40,6 +40,12 @@ def op3_quality(spark, sf_dir):
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op4_deleted_interpolation(spark, sf_dir):
+    """Log-probability of every document."""
+    return deleted_interpolation.score_texts(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_onebit_search(spark, sf_dir):
     """The 20 nearest vectors of every twentieth."""

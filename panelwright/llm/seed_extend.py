@@ -71,11 +71,12 @@ def _anchors(block: corpus.Block, length: int, anchor: int, n_slots: int):
     return hashes[order], (low != high)[order].astype(np.uint8)
 
 
-def _shared(hashes: np.ndarray, flags: np.ndarray) -> np.ndarray:
+def _shared(hashes: np.ndarray, flags: np.ndarray) -> tuple[np.ndarray, list[float]]:
+    """Whether two documents have the anchor."""
     _, back, many = np.unique(hashes, return_inverse=True, return_counts=True)
     several = many > 1
     several |= np.bincount(back, weights=flags, minlength=len(many)) > 0
-    return several[back].astype(np.uint8)
+    return several[back].astype(np.uint8), []
 
 
 def _windows(block: corpus.Block, length: int, anchor: int, n_slots: int):
@@ -98,14 +99,14 @@ def _ask_windows(block: corpus.Block, length: int, anchor: int, n_slots: int):
     return h[order], low[order]
 
 
-def _earlier(hashes: np.ndarray, low: np.ndarray) -> np.ndarray:
+def _earlier(hashes: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, list[float]]:
     """Whether some block has the hash in a document with a smaller id."""
     order = np.lexsort((low, hashes))
     at = corpus.first_of_runs(hashes[order])
     least = np.repeat(low[order][at], np.diff(np.append(at, len(order))))
     out = np.empty(len(hashes), np.uint8)
     out[order] = low[order] > least
-    return out
+    return out, []
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, texts: bool = False) -> DataFrame:
