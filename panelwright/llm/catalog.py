@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.llm import deleted_interpolation, line_spread, mixing, onebit_search, page_text, pii, quality, seed_extend, string_tiling
+from panelwright.llm import deleted_interpolation, jaccard_regions, line_spread, mixing, onebit_search, page_text, pii, quality, seed_extend, string_tiling
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -92,3 +92,9 @@ def op8_string_tiling(spark, sf_dir):
 def op10_page_text(spark, sf_dir):
     """Main text of every page."""
     return page_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op9_jaccard_regions(spark, sf_dir):
+    """Components of near-duplicate documents."""
+    return jaccard_regions.near_duplicates(table(spark, sf_dir, "documents"))
