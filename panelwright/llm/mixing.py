@@ -14,7 +14,7 @@ from panelwright.llm.text import word_array
 from panelwright.scale import written
 
 # Rows that one task orders within a queue.
-QUEUE_ROWS = 50_000
+QUEUE_ROWS = 5_000
 ROUNDS = 2
 
 
@@ -105,7 +105,10 @@ def _taken(slim: DataFrame, targets: DataFrame, shares: dict) -> DataFrame:
     queued = _cumulative(slim, ["source"], ["_row", "_uid"], "_size", "_bucket", "_cum").drop("_bucket")
     copies = (queued.withColumn("_round", F.explode(F.array(*[F.lit(i) for i in range(ROUNDS)])))
               .join(targets.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-              .withColumn("_finish", (F.col("_cum") + F.col("_round") * F.col("source_size")) / F.col("target")))
+              .withColumn("_until", F.col("_cum") + F.col("_round") * F.col("source_size"))
+              # what begins beyond the target is never taken, so a long document leaves its budget to no other source
+              .where(F.col("_until") - F.col("_size") < F.col("target"))
+              .withColumn("_finish", F.col("_until") / F.col("target")).drop("_until"))
     order = ["_finish", "source", "_round", "_row", "_uid"]
     # range-sorted and written once, so that the ranges are the same for every later pass
     ranged = written(copies.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))

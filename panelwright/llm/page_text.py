@@ -233,7 +233,9 @@ def fit(pages: DataFrame, sample: int = SAMPLE_PAGES) -> list:
     Trained on the labelled nodes of at most ``sample`` pages in hash order. Without nodes of both kinds there are no
     trees, and only the plain signs decide.
     """
-    chosen = pages.where(F.length("html") > 0).orderBy(F.xxhash64("html"), "page_id").limit(sample).select("html")
+    keyed = pages.where(F.length("html") > 0).withColumn("_h", F.xxhash64("html"))
+    few = keyed.select("_h", "page_id").orderBy("_h", "page_id").limit(sample)  # the sample's keys, then its pages
+    chosen = keyed.join(F.broadcast(few.select("_h").distinct()), "_h").select("html").dropDuplicates()
     nodes = add_columns(chosen, "html", "x array<double>, y array<double>", lambda: _examples, drop=("html",))
     width = len(NAMES)
     rows = written(nodes.select("x", F.posexplode("y").alias("at", "label"))

@@ -97,8 +97,8 @@ def candidates(text: str) -> list[tuple[str, int, int, bool]]:
         loose += [("id", m.start(), m.end()) for m in _IDS.finditer(text)]
     base = [x for x in spans if _fits(x[0], text[x[1]:x[2]])]
     sure = set(base)
-    # a run of digits too short for a card says nothing
-    other = [x for x in spans if x not in sure and (x[0] != "card" or x[2] - x[1] >= 13)] + loose
+    # a run of digits too short for a card, or longer than anything of its kind, says nothing
+    other = [x for x in spans if x not in sure and (13 if x[0] == "card" else 0) <= x[2] - x[1] <= 40] + loose
     taken = sorted((s, e) for _, s, e in base)
     starts = np.array([s for s, _ in taken])
     reach = np.maximum.accumulate([e for _, e in taken]) if taken else None
@@ -187,12 +187,12 @@ def train(counts: dict[int, int]) -> dict:
     n = np.array([counts[c] for c in codes.tolist()], dtype=float)
     kind, said, length, _ = _decode(codes)
     right, post = reliabilities(kind, said, n)
-    x, weight = _design(kind, said, length), n / n.mean()
+    x, weight = _design(kind, said, length), np.sqrt(n / n.mean())  # rare patterns keep a say
     beta = np.zeros(x.shape[1])
     for _ in range(40):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        curve = (x * (weight * p * (1 - p))[:, None]).T @ x + 0.05 * np.eye(len(beta))
-        step = np.linalg.solve(curve, x.T @ (weight * (post - p)) - 0.05 * beta)
+        curve = (x * (weight * p * (1 - p))[:, None]).T @ x + 0.01 * np.eye(len(beta))
+        step = np.linalg.solve(curve, x.T @ (weight * (post - p)) - 0.01 * beta)
         beta = beta + np.clip(step, -2, 2)
     return {"reliability": dict(zip(LABELERS, right.round(4).tolist(), strict=True)), "weights": beta}
 

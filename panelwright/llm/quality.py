@@ -121,7 +121,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> d
     totals = {r[0]: r[1] for r in labels.where(F.col("quality").isin(0, 1) & (fold(F.col("doc_id")) != 0))
               .groupBy("quality").agg(F.count(F.lit(1))).collect()}
     y = seen[:, 2]
-    if y.min(initial=1) == y.max(initial=0):
+    if len(np.unique(y)) < 2:
         return {"good": good, "bad": bad, "score": totals.get(1, 0) / sum(totals.values()) if totals else 0.5}
     seen = seen[np.lexsort(seen.T)]
     y = seen[:, 2]
