@@ -206,7 +206,7 @@ _QUANT = ", ".join(f"{R(f'quantile_cont(actual - mean, {q})')} AS {n}" for q, n
 
 @register("residual_quantiles", f"{_BT} SELECT model, step, {_QUANT} FROM long_ GROUP BY model, step")
 def residual_quantiles(spark, sf):
-    return forecast.residual_quantiles(_tested(spark, sf), forecast.MODELS, Q).select("model", "step", *[r(n) for n in QNAMES])
+    return forecast.residual_quantiles(scale.written(_tested(spark, sf)), forecast.MODELS, Q).select("model", "step", *[r(n) for n in QNAMES])
 
 
 _OFFSETS = ", ".join(f"quantile_cont(actual - mean, {q}) AS o{i}" for i, q in enumerate(Q))
@@ -234,11 +234,34 @@ def asymmetric_cost(spark, sf):
     return forecast.cost_board(tested, opts=OPTS).join(best, "model").select("model", r("mean_cost"), r("best_offset"))
 
 
-@register("global_linear_regression")
+# every series gets each step of the horizon, with a finite forecast
+_COMPLETE = """SELECT sku, CAST(max(date) + CAST(s AS INTEGER) AS DATE) AS date, CAST(s AS INTEGER) AS step, TRUE AS finite
+FROM panel, generate_series(1, 14) g(s) GROUP BY sku, s"""
+
+
+def _complete(predicted):
+    return predicted.select("sku", "date", "step", (F.col("mean").isNotNull() & ~F.isnan("mean")).alias("finite"))
+
+
+@register("global_linear_regression", _COMPLETE)
 def global_linear_regression(spark, sf):
     df = scale.written(panel(spark, sf))
-    model = regression.fit_global(df, SPEC, 14, "linear")
-    return regression.predict_global(model, df, SPEC, 14)
+    return _complete(regression.predict_global(regression.fit_global(df, SPEC, 14, "linear"), df, SPEC))
+
+
+@register("regression_inputs", f"""
+WITH seq_ AS (SELECT sku, date, sales, promo_flag, promo_discount, row_number() OVER (PARTITION BY sku ORDER BY date) AS rn, count(*) OVER (PARTITION BY sku) AS n FROM panel),
+fut AS (SELECT DISTINCT sku, n, max(date) OVER (PARTITION BY sku) AS last FROM seq_),
+ahead AS (SELECT sku, n, last + CAST(s AS INTEGER) AS date, CAST(s AS INTEGER) AS step FROM fut, generate_series(1, 14) g(s))
+SELECT a.sku, a.date, a.step,
+  max(sales) FILTER (WHERE rn = a.n + a.step - 14) AS back_14, max(sales) FILTER (WHERE rn = a.n + a.step - 21) AS back_21,
+  max(sales) FILTER (WHERE rn = a.n + a.step - 28) AS back_28,
+  {R('avg(sales) FILTER (WHERE rn BETWEEN a.n + a.step - 20 AND a.n + a.step - 14)')} AS mean_7,
+  {R('avg(sales) FILTER (WHERE rn BETWEEN a.n + a.step - 41 AND a.n + a.step - 14)')} AS mean_28
+FROM ahead a JOIN seq_ s ON s.sku = a.sku GROUP BY a.sku, a.n, a.date, a.step""")
+def regression_inputs(spark, sf):
+    rows, _ = regression.lagged_inputs(regression.future_rows(panel(spark, sf), SPEC, 14), SPEC, 14)
+    return rows.where("step IS NOT NULL").select("sku", "date", "step", "back_14", "back_21", "back_28", r("mean_7"), r("mean_28"))
 
 
 @register("feature_importance")
@@ -247,9 +270,9 @@ def feature_importance(spark, sf):
     return regression.feature_importance(regression.fit_global(df, SPEC, 14, "trees"))
 
 
-@register("saved_model_forecast")
+@register("saved_model_forecast", _COMPLETE)
 def saved_model_forecast(spark, sf):
     df = scale.written(panel(spark, sf))
     path = f"{scale.checkpoint_folder(spark)}/model-{uuid.uuid4().hex}"
     regression.save_model(regression.fit_global(df, SPEC, 14, "linear"), path)
-    return regression.predict_global(regression.load_model(path), df, SPEC, 14)
+    return _complete(regression.predict_global(regression.load_model(path), df, SPEC))

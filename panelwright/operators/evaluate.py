@@ -46,6 +46,13 @@ def mismatched(actuals: DataFrame, forecast: DataFrame, spec: PanelSpec, horizon
     return both.where(F.col("n_actual") != F.col("n_forecast"))
 
 
+def unmatched(actuals: DataFrame, forecast: DataFrame, spec: PanelSpec) -> DataFrame:
+    """One row: actual days without a forecast that alignment by date leaves out, and the series they belong to.
+    ``actuals`` holds the days to score."""
+    left = actuals.select(spec.id, spec.ts).join(forecast.select(spec.id, spec.ts).distinct(), [spec.id, spec.ts], "left_anti")
+    return left.agg(F.count(F.lit(1)).alias("n_unmatched"), F.countDistinct(spec.id).alias("n_unmatched_skus"))
+
+
 def scored_rows(aligned: DataFrame) -> DataFrame:
     """Drop out-of-stock days (actual 0) and promotion days."""
     keep = F.col("actual") != 0

@@ -88,9 +88,15 @@ def backtest(train: DataFrame, spec: PanelSpec, opts: ForecastOptions = Forecast
                         *[c.alias(m) for m, c in _predictions().items()])
 
 
-def leaderboard(tested: DataFrame, models: tuple[str, ...] = MODELS) -> DataFrame:
-    """``model, score_val``: validation score as the negative mean absolute error."""
-    return to_long(tested, models).groupBy("model").agg((-F.avg(F.abs(F.col("mean") - F.col("actual")))).alias("score_val"))
+def leaderboard(tested: DataFrame, models: tuple[str, ...] = MODELS, opts: ForecastOptions = ForecastOptions()) -> DataFrame:
+    """``model, score_val``: the negative validation error by ``opts.eval_metric``, the mean absolute error
+    for a metric that isn't known here."""
+    error = F.col("mean") - F.col("actual")
+    scores = {"rmse": F.sqrt(F.avg(error * error)),
+              "wape": F.try_divide(F.sum(F.abs(error)), F.sum(F.when(error.isNotNull(), F.abs("actual")))),
+              "cost": F.avg(asymmetric_cost(F.col("mean"), F.col("actual"), opts))}
+    score = scores.get(opts.eval_metric, F.avg(F.abs(error)))
+    return to_long(tested, models).groupBy("model").agg((-score).alias("score_val"))
 
 
 def ensemble_weights(scores: DataFrame) -> DataFrame:

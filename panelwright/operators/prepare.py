@@ -205,14 +205,17 @@ def densify(df: DataFrame, spec: PanelSpec) -> DataFrame:
 
     Each observed row emits itself and the missing days up to the next one, so there
     is no series-by-day product to join with: one exchange, shared with the windows
-    around it. The common range comes from a one-row scalar subquery.
+    around it. The common range comes from a one-row scalar subquery. Two rows of a series
+    for one day fail the query.
     """
     d, w = spec.ts, in_order(spec)
     statics = [c for c in spec.static if c in df.columns]
     span = df.agg(F.min(d).alias("lo"), F.max(d).alias("hi"))
     lo, hi = span.select("lo").scalar(), span.select("hi").scalar()
+    twice = F.raise_error(F.concat(F.lit(f"two rows for one ({spec.id}, {d}): "), F.col(spec.id).cast("string"),
+                                   F.lit(", "), F.col(d).cast("string"))).cast("date")
     rows = carry_static(df, spec, statics).withColumns({
-        "_from": F.when(F.lag(d).over(w).isNull(), lo).otherwise(F.col(d)),
+        "_from": F.when(F.lag(d).over(w).isNull(), lo).when(F.lag(d).over(w) == F.col(d), twice).otherwise(F.col(d)),
         "_to": F.coalesce(F.date_sub(F.lead(d).over(w), 1), hi)})
     rows = rows.withColumn("_day", F.explode(F.sequence("_from", "_to")))
     own = F.col("_day") == F.col(d)

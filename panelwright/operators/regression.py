@@ -1,70 +1,137 @@
-"""One regression over all series (``pyspark.ml``) on lagged, calendar and static columns.
+"""One regression over all series (``pyspark.ml``) on lagged, calendar, promotion and static columns.
 
-All lags reach back at least the horizon, so the same fitted model serves every step.
+All lags reach back at least the horizon, so the same fitted model serves every step. A missing
+lag is filled and flagged, so that every series gets its whole horizon.
 """
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+import json
+from dataclasses import dataclass
+
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelwright import scale
 from panelwright.functions import calendar as cal
-from panelwright.functions.numeric import in_order
+from panelwright.functions.numeric import in_order, in_reverse
 from panelwright.operators.frames import future_days, last_rows, with_planned_promo
-from panelwright.spec import PanelSpec
+from panelwright.spec import ForecastOptions, PanelSpec
 
-CALENDAR_INPUTS = ("day_of_week", "day_of_month", "month", "is_weekend", "is_holiday", "promo_flag", "promo_discount")
+NAME = "global_regression"
+PLANNED = ("promo_flag", "promo_discount", "special_event")
+# Rows of a category that count as much as the mean of all rows.
+PRIOR_ROWS = 20
 
 
-def lagged_inputs(df: DataFrame, spec: PanelSpec, horizon: int) -> tuple[DataFrame, list[str]]:
-    """Add regression inputs; returns the frame and the numeric input names."""
-    w, x = in_order(spec), F.col(spec.target)
-    lag_cols = {f"back_{k}": F.lag(x, k).over(w) for k in (horizon, horizon + 7, horizon + 14)}
-    means = {f"mean_{n}": F.avg(x).over(w.rowsBetween(-horizon - n + 1, -horizon)) for n in (7, 28)}
-    df = cal.holiday_flag(cal.calendar_parts(df, spec), spec).withColumns(lag_cols | means)
-    return df, [*lag_cols, *means, *[c for c in CALENDAR_INPUTS if c in df.columns]]
+@dataclass(frozen=True)
+class GlobalModel:
+    """Fitted stages, the mean target by value of each static column, the mean of all, and the horizon."""
+
+    stages: PipelineModel
+    encodings: dict[str, DataFrame]
+    overall: float
+    horizon: int
 
 
-def training_rows(df: DataFrame, spec: PanelSpec, horizon: int) -> tuple[DataFrame, list[str]]:
-    df, inputs = lagged_inputs(df, spec, horizon)
-    return df.dropna(subset=[spec.target, *inputs]), inputs
+def reach(horizon: int) -> int:
+    """Rows before a day that its inputs are made from."""
+    return 2 * horizon + 28
 
 
-def fit_global(train: DataFrame, spec: PanelSpec, horizon: int = 14, kind: str = "linear") -> PipelineModel:
-    """Fit ``linear`` or ``trees`` on the rows whose inputs are complete. Series statics enter
-    as category numbers, with unseen values in a class of their own."""
-    rows, inputs = training_rows(train, spec, horizon)
-    statics = [c for c in spec.static if c in train.columns]
-    indexers = [StringIndexer(inputCol=c, outputCol=f"{c}_number", handleInvalid="keep") for c in statics]
-    vector = VectorAssembler(inputCols=inputs + [f"{c}_number" for c in statics], outputCol="inputs")
+def lagged_inputs(df: DataFrame, spec: PanelSpec, horizon: int, overall: float | None = None) -> tuple[DataFrame, list[str]]:
+    """Add regression inputs; returns the frame and the input names.
+
+    With ``overall``, a missing lag or mean becomes the series' mean over the rows in reach or,
+    without any, ``overall``; ``<lag>_missing`` marks it.
+    """
+    w, x = in_order(spec), F.col(spec.target)
+    lags = {f"back_{k}": F.lag(x, k).over(w) for k in (horizon, horizon + 7, horizon + 14)}
+    lags |= {f"mean_{n}": F.avg(x).over(w.rowsBetween(-horizon - n + 1, -horizon)) for n in (7, 28)}
+    df = df.withColumns(lags | {"_level": F.avg(x).over(w.rowsBetween(-reach(horizon), -horizon))})
+    names = list(lags)
+    if overall is not None:
+        filled = {c: F.coalesce(c, "_level", F.lit(overall)) for c in lags}
+        df = df.withColumns({f"{c}_missing": F.col(c).isNull().cast("int") for c in lags}).withColumns(filled)
+        names += [f"{c}_missing" for c in lags]
+    for step in (cal.calendar_parts, cal.cyclic_parts, cal.fourier_parts, cal.holiday_flag):
+        df = step(df, spec)
+    df = df.withColumns({c: F.coalesce(F.col(c), F.lit(0)) if c in df.columns else F.lit(0) for c in PLANNED})
+    df = cal.interactions(df, spec).drop("_level")
+    known = [c for c in spec.known if c in df.columns and c not in names]
+    return df, [*names, *dict.fromkeys([*known, *PLANNED])]
+
+
+def _encode(df: DataFrame, encodings: dict[str, DataFrame], overall: float) -> tuple[DataFrame, list[str]]:
+    for c, table in encodings.items():
+        df = scale.attach(df, table, [c]).withColumn(f"{c}_level", F.coalesce(f"{c}_level", F.lit(overall)))
+    return df, [f"{c}_level" for c in encodings]
+
+
+def fit_global(train: DataFrame, spec: PanelSpec, horizon: int = 14, kind: str = "linear",
+               where: Column | None = None) -> GlobalModel:
+    """Fit ``linear`` or ``trees`` on the rows that have a target (and meet ``where``, while the lags see all rows).
+    Series statics enter as the mean target of their value, drawn to the overall mean where the value is rare."""
+    fitted = train.where(F.col(spec.target).isNotNull() if where is None else where & F.col(spec.target).isNotNull())
+    overall = fitted.agg(F.avg(spec.target)).first()[0] or 0.0
+    encodings = {}
+    for c in [c for c in spec.static if c in train.columns]:
+        n, total = F.count(F.lit(1)), F.sum(spec.target)
+        encodings[c] = scale.written(fitted.where(F.col(c).isNotNull()).groupBy(c).agg(
+            ((total + PRIOR_ROWS * overall) / (n + PRIOR_ROWS)).alias(f"{c}_level")))
+    rows, inputs = lagged_inputs(train, spec, horizon, overall)
+    rows, levels = _encode(rows.where(F.col(spec.target).isNotNull() if where is None else where & F.col(spec.target).isNotNull()),
+                           encodings, overall)
+    vector = VectorAssembler(inputCols=[*inputs, *levels], outputCol="inputs")
     common = {"featuresCol": "inputs", "labelCol": spec.target, "predictionCol": "mean"}
-    last = LinearRegression(regParam=0.01, **common) if kind == "linear" else GBTRegressor(
-        maxIter=10, maxDepth=4, maxBins=256, seed=7, **common)
-    return Pipeline(stages=[*indexers, vector, last]).fit(rows)
+    last = LinearRegression(regParam=0.01, **common) if kind == "linear" else GBTRegressor(maxIter=10, maxDepth=4, seed=7, **common)
+    model = last.fit(vector.transform(rows).select("inputs", spec.target))
+    return GlobalModel(PipelineModel([vector, model]), encodings, float(overall), horizon)
+
 
+def _score(model: GlobalModel, rows: DataFrame, spec: PanelSpec, keep: list[str], where: Column) -> DataFrame:
+    rows, _ = lagged_inputs(rows, spec, model.horizon, model.overall)
+    rows, _ = _encode(rows.where(where), model.encodings, model.overall)
+    return model.stages.transform(rows).select(*keep, "mean")
 
-def predict_global(model: PipelineModel, df: DataFrame, spec: PanelSpec, horizon: int = 14,
-                   promo: DataFrame | None = None) -> DataFrame:
-    """Forecast the days after each series' last one: ``id, ts, step, mean``. Only the tail of
-    each series that the lags reach is kept next to the future rows."""
+
+def future_rows(df: DataFrame, spec: PanelSpec, horizon: int, promo: DataFrame | None = None) -> DataFrame:
+    """The tail of each series that the inputs reach, and below it the future days with their ``step``."""
     statics = [c for c in spec.static if c in df.columns]
-    tail = last_rows(df, spec, 2 * horizon + 28)
-    keep = [spec.id, spec.ts, spec.target, *[c for c in ("promo_flag", "promo_discount") if c in df.columns]]
-    known = tail.groupBy(spec.id).agg(*[F.max_by(c, spec.ts).alias(c) for c in statics])
+    tail = last_rows(df, spec, reach(horizon))
+    planned = [c for c in PLANNED if c in df.columns]
+    known = tail.groupBy(spec.id).agg(F.count(F.lit(1)).alias("_n"), *[F.max_by(c, spec.ts).alias(c) for c in statics]).drop("_n")
     ahead = with_planned_promo(future_days(tail, spec, horizon), promo, spec)
-    rows = tail.select(*keep).unionByName(ahead.select(spec.id, spec.ts, "step", "promo_flag", "promo_discount"),
-                                          allowMissingColumns=True)
-    rows, inputs = lagged_inputs(rows.join(known, spec.id), spec, horizon)
-    return model.transform(rows.where(F.col("step").isNotNull()).dropna(subset=inputs)).select(
-        spec.id, spec.ts, "step", "mean")
+    return tail.select(spec.id, spec.ts, spec.target, *planned).unionByName(
+        ahead.select(spec.id, spec.ts, "step", *PLANNED), allowMissingColumns=True).join(known, spec.id)
+
+
+def predict_global(model: GlobalModel, df: DataFrame, spec: PanelSpec, promo: DataFrame | None = None) -> DataFrame:
+    """Forecast the days after each series' last one: ``id, ts, step, mean``, ``horizon`` rows for every series."""
+    rows = future_rows(df, spec, model.horizon, promo)
+    return _score(model, rows, spec, [spec.id, spec.ts, "step"], F.col("step").isNotNull())
 
 
-def feature_importance(model: PipelineModel, top: int = 20) -> DataFrame:
+def backtest_global(train: DataFrame, spec: PanelSpec, opts: ForecastOptions = ForecastOptions(), kind: str = "linear") -> DataFrame:
+    """``id, window_no, ts`` and the model's forecast ahead of every rolling-origin cut, each fitted on the rows up to its cut.
+    The few cuts are fitted one after the other; lags of at least the horizon never look past a cut."""
+    rows = train.withColumn("_back", F.row_number().over(in_reverse(spec)))
+    out = None
+    for k in range(opts.val_windows):
+        end = k * opts.val_step
+        model = fit_global(rows, spec, opts.horizon, kind, F.col("_back") > end + opts.horizon)
+        ahead = _score(model, rows, spec, [spec.id, spec.ts], F.col("_back").between(end + 1, end + opts.horizon))
+        ahead = ahead.select(spec.id, F.lit(k).alias("window_no"), spec.ts, F.col("mean").alias(NAME))
+        out = ahead if out is None else out.unionByName(ahead)
+    return out
+
+
+def feature_importance(model: GlobalModel, top: int = 20) -> DataFrame:
     """``feature, importance`` of a tree model (absolute coefficients of a linear one), largest first."""
-    *_, vector, last = model.stages
+    vector, last = model.stages.stages
     scores = last.featureImportances.toArray() if hasattr(last, "featureImportances") else abs(last.coefficients.toArray())
     spark = SparkSession.active()
     rows = [(name, float(score)) for name, score in zip(vector.getInputCols(), scores)]
@@ -72,9 +139,16 @@ def feature_importance(model: PipelineModel, top: int = 20) -> DataFrame:
         F.desc("importance"), "feature").limit(top)
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_model(model: GlobalModel, path: str) -> None:
+    model.stages.write().overwrite().save(f"{path}/stages")
+    for c, table in model.encodings.items():
+        table.write.mode("overwrite").parquet(f"{path}/levels-{c}")
+    about = json.dumps({"statics": list(model.encodings), "overall": model.overall, "horizon": model.horizon})
+    SparkSession.active().createDataFrame([(about,)], "about string").write.mode("overwrite").text(f"{path}/about")
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str) -> GlobalModel:
+    spark = SparkSession.active()
+    about = json.loads(spark.read.text(f"{path}/about", wholetext=True).first()[0])
+    return GlobalModel(PipelineModel.load(f"{path}/stages"), {c: spark.read.parquet(f"{path}/levels-{c}") for c in about["statics"]},
+                       about["overall"], about["horizon"])

@@ -7,8 +7,10 @@ all series, a whole column) are not bounded, and go through the helpers here.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -19,8 +21,8 @@ BROADCAST_ROWS = 1_000_000
 GROUP_ROWS = 1_000_000
 # Values of a column up to which an exact percentile may hold them all in one task.
 EXACT_VALUES = 50_000
-# Slices a larger group is cut into, and spread of a join key over tasks.
-SLICES = 64
+# Slices of a larger group for each multiple of the limit, and spread of a join key over tasks.
+SLICES_PER_LIMIT = 4
 SALTS = 32
 
 
@@ -30,9 +32,12 @@ def at_most(df: DataFrame, limit: int) -> bool:
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder the session names, or a temporary one where it names none (as in tests)."""
+    """The shared folder the session names. Where it names none, a temporary one, but only if all runs on this machine."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.conf.get("spark.master", "")
+        if not re.match(r"local(\[|$)", master):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors share (master {master!r})")
         base = tempfile.mkdtemp(prefix="panelwright-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
@@ -46,9 +51,29 @@ def written(df: DataFrame) -> DataFrame:
     """
     path = f"{checkpoint_folder(df.sparkSession)}/panel-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    for held in _open_work:
+        held.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_open_work: list[list[str]] = []
+
+
+@contextmanager
+def work_tables(spark: SparkSession):
+    """Remove, at the end, all tables that ``written`` made meanwhile. Results must have been stored by then."""
+    held: list[str] = []
+    _open_work.append(held)
+    try:
+        yield
+    finally:
+        _open_work.remove(held)
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for path in held:
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(conf).delete(where, True)
+
+
 def attach(df: DataFrame, stats: DataFrame, keys: list[str], limit: int | None = None,
            small: bool = False) -> DataFrame:
     """Left-join one-row-per-key ``stats`` onto ``df``.
@@ -94,11 +119,13 @@ def value_positions(df: DataFrame, keys: list[str], value: str, limit: int | Non
     seen = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_cnt"))
     ordered = Window.partitionBy(*keys).orderBy(value)
     up_to = Window.unboundedPreceding
-    if biggest_group(seen, keys) <= limit:
+    biggest = biggest_group(seen, keys)
+    if biggest <= limit:
         return seen.withColumns({
             "_before": F.coalesce(F.sum("_cnt").over(ordered.rowsBetween(up_to, -1)), F.lit(0)),
             "_total": F.sum("_cnt").over(Window.partitionBy(*keys))})
-    cuts = [F.lit(i / SLICES) for i in range(1, SLICES)]
+    slices = SLICES_PER_LIMIT * -(-biggest // limit)
+    cuts = [F.lit(i / slices) for i in range(1, slices)]
     fences = seen.groupBy(*keys).agg(F.percentile_approx(value, F.array(*cuts), F.lit(1000)).alias("_fences"))
     sliced = attach(seen, fences, keys).withColumn(
         "_slice", F.size(F.filter("_fences", lambda f: f < F.col(value)))).drop("_fences")

@@ -35,8 +35,3 @@ def daily_panel(spark: SparkSession, sf_dir: str, gappy: bool = False) -> DataFr
         in_sale_window(F.col("date")).alias("special_event"),
         (F.col("amount") / F.col("sales")).alias("price"))
 
-
-def event_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dense short panel: value per event type and day."""
-    return spark.read.parquet(f"{sf_dir}/events.parquet").groupBy(
-        F.col("event_type").alias("sku"), F.col("ts").cast("date").alias("date")).agg(F.sum("value").alias("sales"))

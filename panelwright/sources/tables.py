@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,7 +16,7 @@ def panel_schema(spec: PanelSpec) -> dict[str, T.DataType]:
     """Types of the known panel columns; the date is parsed in a second step."""
     kinds: dict[str, T.DataType] = {spec.id: T.StringType(), spec.ts: T.StringType(), spec.target: T.DoubleType()}
     kinds |= {c: T.StringType() for c in spec.static}
-    kinds |= {c: T.IntegerType() for c in _FLAGS}
+    kinds |= {c: T.DoubleType() for c in _FLAGS}     # written as 1.0 once a flag has gaps
     return kinds | {"promo_discount": T.DoubleType(), "price": T.DoubleType()}
 
 
@@ -40,17 +40,29 @@ def normalise(df: DataFrame, spec: PanelSpec) -> DataFrame:
     return df.where(F.col(spec.id).isNotNull()).withColumns(cols)
 
 
+def whole_flags(df: DataFrame) -> DataFrame:
+    """Flags as integers. NULL and NaN are missing; a value that is no whole number fails the query."""
+    def flag(c: str) -> Column:
+        x = finite_or_null(F.col(c).cast("double"))
+        return F.when(x == F.floor(x), x.cast("int")).when(x.isNotNull(), F.raise_error(
+            F.concat(F.lit(f"{c} is no flag: "), x.cast("string"))).cast("int"))
+    return df.withColumns({c: flag(c) for c in _FLAGS if c in df.columns})
+
+
 def read_panel(spark: SparkSession, path: str, spec: PanelSpec, fmt: str = "csv", lenient: bool = False) -> DataFrame:
-    """Read a panel. CSV columns get their types from the contract (others stay text), in header order."""
+    """Read a panel. CSV columns get their types from the contract, in header order; others are inferred from the whole file."""
     if fmt == "csv":
         header = spark.read.option("header", True).csv(path).columns
         kinds = panel_schema(spec)
+        if set(header) - set(kinds):
+            seen = spark.read.option("header", True).option("inferSchema", True).csv(path).schema
+            kinds |= {f.name: f.dataType for f in seen.fields if f.name not in kinds}
         schema = T.StructType([T.StructField(c, kinds.get(c, T.StringType())) for c in header])
         df = spark.read.schema(schema).option("header", True).option("enforceSchema", False) \
             .option("mode", "FAILFAST").csv(path)
     else:
         df = spark.read.format(fmt).load(path)
-    return normalise(parse_time(df, spec.ts, spec.date_pattern, lenient), spec)
+    return normalise(whole_flags(parse_time(df, spec.ts, spec.date_pattern, lenient)), spec)
 
 
 def read_future_promo(spark: SparkSession, path: str | None, spec: PanelSpec, fmt: str = "csv") -> DataFrame | None:
@@ -61,9 +73,9 @@ def read_future_promo(spark: SparkSession, path: str | None, spec: PanelSpec, fm
         df = spark.read.option("header", True).csv(path)
     else:
         df = spark.read.format(fmt).load(path)
-    return parse_time(df, spec.ts, spec.date_pattern).select(
-        F.col(spec.id).cast("string").alias(spec.id), spec.ts, F.col("promo_flag").cast("int"),
-        F.col("promo_discount").cast("double"), F.col("special_event").cast("int"))
+    return whole_flags(parse_time(df, spec.ts, spec.date_pattern)).select(
+        F.col(spec.id).cast("string").alias(spec.id), spec.ts, "promo_flag",
+        F.col("promo_discount").cast("double"), "special_event")
 
 
 def write_forecast(df: DataFrame, path: str, fmt: str = "csv") -> None:

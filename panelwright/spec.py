@@ -78,6 +78,9 @@ class ForecastOptions:
     over_penalty: float = 1.5
     under_penalty: float = 1.0
     ensemble: bool = True
+    eval_metric: str = "mae"              # what models are ranked by: mae, rmse, wape or cost
+    use_cost: bool = False                # publish the level that costs least instead of the mean
+    global_model: bool = True             # fit the regression over all series, too
 
 
 @dataclass(frozen=True)
@@ -137,6 +140,9 @@ class Settings:
             over_penalty=penalty.get("over_penalty_factor", d_fc.over_penalty),
             under_penalty=penalty.get("under_penalty_factor", d_fc.under_penalty),
             ensemble=model.get("enable_ensemble", True),
+            eval_metric="cost" if penalty.get("enabled", bool(penalty)) else str(model.get("eval_metric", d_fc.eval_metric)).lower(),
+            use_cost=penalty.get("enabled", bool(penalty)),
+            global_model=model.get("global_model", d_fc.global_model),
         )
         paths = {k: v for k, v in {
             "train": data.get("train_path"), "future_promo": data.get("future_promo_path"),
