@@ -17,13 +17,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 SPEC = PanelSpec()
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+BODIES: dict[str, str] = {}      # SQL before the panel is put in front
 
 
 def register(name: str, sql: str | None = None):
     def add(fn: Query) -> Query:
         QUERIES[name] = fn
         if sql is not None:
-            ORACLES[name] = with_panel(sql)
+            BODIES[name], ORACLES[name] = sql, with_panel(sql)
         return fn
     return add
 

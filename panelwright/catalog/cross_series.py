@@ -174,10 +174,21 @@ def clean_columns(spark, sf):
     return out.select(*KEY, "promo_flag", "is_event", *[r(c) for c in ("sales", "price", "price_rank", "sales_growth", "big")])
 
 
-@register("cleanup_leftovers", "SELECT CAST(0 AS BIGINT) AS infinite_values, CAST(0 AS BIGINT) AS missing_values FROM panel GROUP BY 1, 2")
+@register("cleanup_leftovers", """
+WITH f AS (SELECT sales, price, promo_flag, promo_discount, special_event, lag(sales, 3) OVER (PARTITION BY sku ORDER BY date) AS back,
+                  CASE WHEN sales = 1 THEN CAST('inf' AS DOUBLE) ELSE sales END AS ratio FROM dense)
+SELECT 'before' AS stage, count(*) FILTER (isinf(ratio)) AS infinite_values,
+       CAST(count(*) * 7 - count(sales) - count(price) - count(promo_flag) - count(promo_discount) - count(special_event) - count(back) - count(ratio) AS BIGINT) AS missing_values FROM f
+UNION ALL SELECT 'after', 0, 0""")
 def cleanup_leftovers(spark, sf):
-    out, _ = build_features(scale.written(dense(spark, sf)), SPEC)
-    return cleanup.leftovers(out, SPEC)
+    """Missing and infinite values of numeric columns before and after cleanup."""
+    df = dense(spark, sf).withColumns({
+        "back": F.lag("sales", 3).over(in_order(SPEC)),
+        "ratio": F.when(F.col("sales") == 1, F.lit(float("inf"))).otherwise(F.col("sales"))})
+    df = scale.written(df)
+    cleaned = cleanup.apply(df, SPEC, cleanup.fit(df, SPEC))
+    return cleanup.leftovers(df, SPEC).select(F.lit("before").alias("stage"), "*").unionAll(
+        cleanup.leftovers(cleaned, SPEC).select(F.lit("after"), "*"))
 
 
 @register("all_features")

@@ -98,16 +98,19 @@ def available_covariates(spark, sf):
 
 
 @register("min_history", """
-SELECT sku, date, sales FROM panel WHERE sku IN (SELECT sku FROM panel GROUP BY sku HAVING count(*) >= 60)""")
+SELECT sku, date, sales FROM panel WHERE sku IN (SELECT sku FROM panel GROUP BY sku HAVING count(*) >= 120)""")
 def min_history(spark, sf):
-    return prep.min_history(panel(spark, sf), SPEC, 60).select(*KEY, "sales")
+    """Some series have more than 120 rows and some fewer at the small scales."""
+    return prep.min_history(panel(spark, sf), SPEC, 120).select(*KEY, "sales")
 
 
 @register("drop_zero_series", """
-WITH low AS (SELECT sku, date, greatest(sales - 48, 0) AS sales FROM panel)
+WITH low AS (SELECT sku, date, CASE WHEN bn % 3 = 0 THEN 0.0 ELSE greatest(sales - 48, 0) END AS sales FROM panel)
 SELECT * FROM low WHERE sku IN (SELECT sku FROM low WHERE sales > 0)""")
 def drop_zero_series(spark, sf):
-    low = panel(spark, sf).withColumn("sales", F.greatest(F.col("sales") - 48, F.lit(0.0)))
+    """Every third brand sells nothing."""
+    third = F.split("brand", "#")[1].cast("int") % 3 == 0
+    low = panel(spark, sf).withColumn("sales", F.when(third, 0.0).otherwise(F.greatest(F.col("sales") - 48, F.lit(0.0))))
     return prep.drop_zero_series(low, SPEC).select(*KEY, "sales")
 
 
@@ -262,11 +265,11 @@ WITH {_imputed('gappy')}
 SELECT (SELECT count(*) FROM gappy WHERE sales IS NULL) AS initial_missing,
        (SELECT count(*) FROM imputed WHERE sales IS NULL) AS final_missing,
        (SELECT count(DISTINCT sku) FROM gappy) AS initial_series,
-       (SELECT count(*) FROM (SELECT sku FROM gappy GROUP BY sku HAVING count(*) < 60)) AS removed_series,
+       (SELECT count(*) FROM (SELECT sku FROM gappy GROUP BY sku HAVING count(*) < 120)) AS removed_series,
        CAST(0 AS BIGINT) AS rows_without_id""")
 def quality_report(spark, sf):
     raw = gappy(spark, sf)
-    return prep.quality_report(raw, prep.impute_interpolate(raw, SPEC, 7), prep.min_history(raw, SPEC, 60), SPEC)
+    return prep.quality_report(raw, prep.impute_interpolate(raw, SPEC, 7), prep.min_history(raw, SPEC, 120), SPEC)
 
 
 @register("duplicate_keys", """

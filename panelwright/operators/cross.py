@@ -8,7 +8,7 @@ of distinct prices.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwright import scale
@@ -118,12 +118,33 @@ def instability_table(df: DataFrame, spec: PanelSpec) -> DataFrame:
     by_day = Window.partitionBy("category").orderBy(spec.ts)
     days = with_growth(days, "_sum", {"_g7": 7, "_g30": 30, "_g90": 90}, by_day)
     days = days.withColumns({g: F.coalesce(g, F.lit(0.0)) for g in ("_g7", "_g30", "_g90")})
+    return days.groupBy("category").agg(*_instability()).select("category", _instability_score())
+
+
+def _instability() -> list[Column]:
     # an infinite growth leaves the spread undefined
-    stats = days.groupBy("category").agg(*[
-        F.when(F.max(F.abs(g)) < float("inf"), fn(g)).alias(g)
-        for g, fn in (("_g7", F.stddev_samp), ("_g30", F.stddev_samp))], F.avg("_g90").alias("_g90"))
+    return [*[F.when(F.max(F.abs(F.col(g))) < float("inf"), fn(g)).alias(g)
+              for g, fn in (("_g7", F.stddev_samp), ("_g30", F.stddev_samp))], F.avg("_g90").alias("_g90")]
+
+
+def _instability_score() -> Column:
     score = F.col("_g7") * 0.4 + F.col("_g30") * 0.3 + F.greatest(F.lit(0.0), -F.col("_g90")) * 0.3
-    return stats.select("category", F.coalesce(clip(score, 0.0, 2.0), F.lit(0.5)).alias("category_instability_index"))
+    return F.coalesce(clip(score, 0.0, 2.0), F.lit(0.5)).alias("category_instability_index")
+
+
+def _concentration() -> Column:
+    index = F.when(F.col("_sum") <= 0, 0.5).otherwise(clip(F.try_divide(F.col("_sq"), F.col("_sum") * F.col("_sum")), 0.0, 1.0))
+    return F.avg(index).alias("portfolio_concentration_risk")
+
+
+def category_state_table(df: DataFrame, spec: PanelSpec) -> DataFrame:
+    """Instability and concentration by category, from one table of category-days."""
+    x = F.col(spec.target)
+    days = _group_day(df.where(F.col("category").isNotNull()), spec, ["category"], _sum=_total(spec), _sq=F.sum(x * x))
+    days = with_growth(days, "_sum", {"_g7": 7, "_g30": 30, "_g90": 90}, Window.partitionBy("category").orderBy(spec.ts))
+    days = days.withColumns({g: F.coalesce(g, F.lit(0.0)) for g in ("_g7", "_g30", "_g90")})
+    return days.groupBy("category").agg(*_instability(), _concentration()).select(
+        "category", _instability_score(), "portfolio_concentration_risk")
 
 
 def fragmentation_table(df: DataFrame, spec: PanelSpec) -> DataFrame:
@@ -141,8 +162,7 @@ def concentration_table(df: DataFrame, spec: PanelSpec) -> DataFrame:
     0.5 on days without sales."""
     x = F.col(spec.target)
     days = _group_day(df.where(F.col("category").isNotNull()), spec, ["category"], _sum=_total(spec), _sq=F.sum(x * x))
-    index = F.when(F.col("_sum") <= 0, 0.5).otherwise(clip(F.try_divide(F.col("_sq"), F.col("_sum") * F.col("_sum")), 0.0, 1.0))
-    return days.groupBy("category").agg(F.avg(index).alias("portfolio_concentration_risk"))
+    return days.groupBy("category").agg(_concentration())
 
 
 def headwind_table(df: DataFrame, spec: PanelSpec) -> DataFrame:
@@ -153,16 +173,15 @@ def headwind_table(df: DataFrame, spec: PanelSpec) -> DataFrame:
     return days.select(spec.ts, F.coalesce((F.col("_trend") < -0.02).cast("int"), F.lit(0)).alias("market_headwind"))
 
 
-def market_state(df: DataFrame, spec: PanelSpec, source: DataFrame | None = None) -> DataFrame:
+def market_state(df: DataFrame, spec: PanelSpec, source: DataFrame | None = None, small: bool = False) -> DataFrame:
     """Category instability, subcategory fragmentation, concentration and market headwind.
     The first three are 0.5 where the panel has no such grouping."""
     has, source = set(df.columns), df if source is None else source
     names = ("category_instability_index", "market_fragmentation_score", "portfolio_concentration_risk")
     if "category" in has:
-        both = instability_table(source, spec).join(concentration_table(source, spec), "category")
-        df = scale.attach(df, both, ["category"])
+        df = scale.attach(df, category_state_table(source, spec), ["category"], small=small)
     if {"category", "subcategory"} <= has:
-        df = scale.attach(df, fragmentation_table(source, spec), ["subcategory"])
+        df = scale.attach(df, fragmentation_table(source, spec), ["subcategory"], small=small)
     df = df.withColumns({c: F.coalesce(F.col(c), F.lit(0.5)) if c in df.columns else F.lit(0.5) for c in names})
     df = df.join(F.broadcast(headwind_table(source, spec)), spec.ts, "left")
     return df.withColumn("market_headwind", F.coalesce("market_headwind", F.lit(0)))

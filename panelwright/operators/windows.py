@@ -136,26 +136,27 @@ def change_points(df: DataFrame, spec: PanelSpec) -> DataFrame:
 def seasonality_table(df: DataFrame, spec: PanelSpec) -> DataFrame:
     """One row per series: spread of its weekday and of its day-of-month means."""
     x = F.col(spec.target)
-
-    def spread(part: Column, name: str) -> DataFrame:
-        means = df.select(spec.id, part.alias("_part"), spec.target).groupBy(spec.id, "_part").agg(F.avg(x).alias("_m"))
-        return means.groupBy(spec.id).agg(F.var_pop("_m").alias(name))
-
-    level = df.groupBy(spec.id).agg(F.count(F.lit(1)).alias("_n"), F.avg(x).alias("_mean"))
-    both = level.join(spread(F.weekday(spec.ts), "_weekly"), spec.id).join(spread(F.dayofmonth(spec.ts), "_monthly"), spec.id)
-
-    def strength(variance: str) -> Column:
-        value = F.when(F.col("_mean") > 0, F.col(variance)).otherwise(0.0)
+    # a row per series is all that leaves the map side: the mean of each weekday and day of month
+    parts = {"_weekly": (F.weekday(spec.ts), range(7)), "_monthly": (F.dayofmonth(spec.ts), range(1, 32))}
+    means = [F.array(*[F.avg(F.when(part == k, x)) for k in days]).alias(name) for name, (part, days) in parts.items()]
+    both = df.groupBy(spec.id).agg(F.count(F.lit(1)).alias("_n"), F.avg(x).alias("_mean"), *means)
+
+    def strength(name: str) -> Column:
+        known = F.filter(name, lambda m: m.isNotNull())
+        n = F.size(known)
+        middle = F.try_divide(F.aggregate(known, F.lit(0.0), lambda a, m: a + m), n)
+        variance = F.try_divide(F.aggregate(known, F.lit(0.0), lambda a, m: a + (m - middle) * (m - middle)), n)
+        value = F.when(F.col("_mean") > 0, variance).otherwise(0.0)
         return F.when(F.col("_n") < 28, 0.0).otherwise(F.try_divide(value, F.col("_mean") + 1e-6))
 
     return both.select(spec.id, strength("_weekly").alias("weekly_seasonality"),
                        strength("_monthly").alias("monthly_seasonality"))
 
 
-def seasonality(df: DataFrame, spec: PanelSpec, source: DataFrame | None = None) -> DataFrame:
+def seasonality(df: DataFrame, spec: PanelSpec, source: DataFrame | None = None, small: bool = False) -> DataFrame:
     """``weekly_seasonality`` and ``monthly_seasonality``: variance of the weekday (day of
     month) means relative to the series mean; 0 on series under 28 rows or without sales."""
-    return scale.attach_series(df, seasonality_table(df if source is None else source, spec), spec.id)
+    return scale.attach_series(df, seasonality_table(df if source is None else source, spec), spec.id, small=small)
 
 
 def promo_effect(df: DataFrame, spec: PanelSpec) -> DataFrame:

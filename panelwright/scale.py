@@ -92,10 +92,10 @@ def attach(df: DataFrame, stats: DataFrame, keys: list[str], limit: int | None =
     return spread.join(salted.hint("merge"), [*keys, "_salt"], "left").drop("_salt")
 
 
-def attach_series(df: DataFrame, stats: DataFrame, key: str, limit: int | None = None) -> DataFrame:
-    """Left-join one row per series. Broadcast after a row count; otherwise a plain join on the
+def attach_series(df: DataFrame, stats: DataFrame, key: str, limit: int | None = None, small: bool = False) -> DataFrame:
+    """Left-join one row per series. Broadcast after a row count (``small``: the caller's); otherwise a plain join on the
     series id, whose rows are bounded by the calendar and which the windows hash by as well."""
-    small = at_most(stats.select(key), BROADCAST_ROWS if limit is None else limit)
+    small = small or at_most(stats.select(key), BROADCAST_ROWS if limit is None else limit)
     return df.join(F.broadcast(stats) if small else stats, key, "left")
 
 

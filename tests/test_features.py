@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from panelwright import PanelSpec, scale
 from panelwright.functions import calendar as cal
 from panelwright.functions.holidays import holiday_days
-from panelwright.operators import cleanup, cross, recent, windows
+from panelwright.operators import asof, cleanup, cross, recent, windows
 from panelwright.plans.features import build_features, raw_features
 
 SPEC = PanelSpec()
@@ -193,3 +193,19 @@ def test_cleanup_bounds_need_gaps(spark):
     df = spark.createDataFrame([("a", 5.0), ("b", 7.0)], "sku string, price_rank double")
     out = cleanup.apply(df, PanelSpec(target="none"), cleanup.fit(df, SPEC)).collect()
     assert [r.price_rank for r in out] == [5.0, 7.0]
+
+
+def test_asof_features_do_not_know_the_future(panel_of):
+    rng = np.random.default_rng(4)
+    values = {f"s{i}": rng.integers(1, 40, 70).astype(float).tolist() for i in range(3)}
+    extra = {"promo_flag": {k: [int(i % 5 == 0) for i in range(70)] for k in values}, "promo_discount": 0.1, "price": 2.0,
+             "category": {k: "c" for k in values}, "subcategory": {k: "d" for k in values}, "brand": {k: "b" for k in values}}
+    extra = {c: (v if isinstance(v, dict) else {k: v for k in values}) for c, v in extra.items()}
+    cut = dt.date(2024, 1, 1) + dt.timedelta(days=49)
+
+    names = [*asof.SERIES, *asof.SEASONS, "category_instability_index", "market_fragmentation_score", "portfolio_concentration_risk"]
+    later = {k: v[:50] + [500.0] * 20 for k, v in values.items()}
+    got = [raw_features(panel_of(v, **extra), SPEC, asof=cut).select("sku", "date", *names).orderBy("sku", "date").collect() for v in (values, later)]
+    assert len(got[0]) == 210 and got[0] == got[1]
+    whole = raw_features(panel_of(later, **extra), SPEC).select("sku", "date", *names).orderBy("sku", "date").collect()
+    assert whole != got[0]
