@@ -53,10 +53,10 @@ def fit(df: DataFrame, spec: PanelSpec) -> CleanupRules:
     """One count pass over all numeric columns, then medians of the columns that need one."""
     columns = [c for c in numeric_columns(df) if c not in (spec.id, spec.ts)]
     finite = _finite(df.select(*columns), columns)
-    gaps = finite.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first().asDict()
-    missing = [c for c in columns if gaps[c]]
+    counts = finite.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(c).alias(c) for c in columns]).first().asDict()
+    missing = [c for c in columns if counts[c] < counts["_rows"]]
     general = [c for c in missing if fill_kind(c) == "general"]
-    medians = scale.column_medians(finite, general)
+    medians = scale.column_medians(finite, general, counts=counts)
     return CleanupRules(tuple(columns), {c: float(medians.get(c) or 0.0) for c in missing})
 
 

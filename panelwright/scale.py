@@ -163,19 +163,20 @@ def group_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str,
     return placed.groupBy(*keys).agg(*out)
 
 
-def column_medians(df: DataFrame, columns: list[str], limit: int | None = None) -> dict[str, float | None]:
+def column_medians(df: DataFrame, columns: list[str], limit: int | None = None,
+                   counts: dict[str, int] | None = None) -> dict[str, float | None]:
     """Exact median of each column (NULL skipped), for tables of any size.
 
     An exact percentile keeps every distinct value in one task, so it is used only
     where the distinct values fit ``limit``. Otherwise sketched quantiles give a narrow
     bracket around the middle ranks, an exact count of the rows below and inside
     proves it, and the loop goes on inside the bracket. Every pass is one scan for
-    all columns and returns a few numbers per column.
+    all columns and returns a few numbers per column. ``counts`` are the non-null rows, where known.
     """
     limit = EXACT_VALUES if limit is None else limit
     if not columns:
         return {}
-    n = df.agg(*[F.count(c).alias(c) for c in columns]).first().asDict()
+    n = counts or df.agg(*[F.count(c).alias(c) for c in columns]).first().asDict()
     result: dict[str, float | None] = {c: None for c in columns}
     # middle ranks (0-based) still open, values found for the others, rows below the bracket,
     # rows inside it, distinct values inside it, and the bracket as a condition
