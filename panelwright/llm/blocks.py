@@ -93,7 +93,7 @@ def each(blocks: DataFrame, fn: Callable[[Block], Iterator[pa.RecordBatch]], sch
 
 def ask(blocks: DataFrame, name: str, n_slots: int, question: Callable[[Block], tuple[np.ndarray, np.ndarray]],
         answer: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, list[float]]], width: int = 8) -> DataFrame:
-    """Answers for ``with_answers``, written: ``block, question, slot, kind, columns, answer, tally``.
+    """Answers for ``with_answers``, written: ``block, part (the block's kind), question, slot, kind, columns, answer, tally``.
 
     ``question`` gives the distinct hashes of a block in ``asked_order``, and a number for each. ``answer`` gets the hashes
     of a slot from all blocks, one block after the other, with their numbers, and gives an array in this order, of
@@ -110,14 +110,15 @@ def ask(blocks: DataFrame, name: str, n_slots: int, question: Callable[[Block],
         packer = zstandard.ZstdCompressor(level=1)
         yield pa.RecordBatch.from_arrays(
             [pa.array(slot[cuts]), pa.array([block.number] * len(cuts)),
-             pa.array([kept[s:e].tobytes() for s, e in zip(cuts, ends, strict=True)]),
+             # byte by byte: the upper bytes of ordered hashes hardly change
+             pa.array([packer.compress(kept[s:e].T.tobytes()) for s, e in zip(cuts, ends, strict=True)]),
              pa.array([packer.compress(numbers[s:e].tobytes()) for s, e in zip(cuts, ends, strict=True)]),
-             pa.array([str(numbers.dtype)] * len(cuts))],
-            names=["slot", "block", "hashes", "numbers", "kind"])
+             pa.array([str(numbers.dtype)] * len(cuts)), pa.array([block.kind] * len(cuts), pa.int32())],
+            names=["slot", "block", "hashes", "numbers", "kind", "part"])
 
     def settle(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("block")
-        raw = [np.frombuffer(h, np.uint8).reshape(-1, width) for h in part["hashes"]]
+        raw = [np.frombuffer(zstandard.ZstdDecompressor().decompress(h), np.uint8).reshape(width, -1).T for h in part["hashes"]]
         many = [len(r) for r in raw]
         wide = np.zeros((sum(many), 8), np.uint8)
         wide[:, :width] = np.concatenate(raw)
@@ -125,12 +126,12 @@ def ask(blocks: DataFrame, name: str, n_slots: int, question: Callable[[Block],
         found, tally = answer(wide.view("<u8").ravel(), numbers)
         packer = zstandard.ZstdCompressor(level=1)
         out = [packer.compress(x.tobytes()) for x in np.split(found, np.cumsum(many)[:-1])]
-        return pd.DataFrame({"block": part["block"].to_numpy(), "question": name, "slot": part["slot"].to_numpy(),
+        return pd.DataFrame({"block": part["block"].to_numpy(), "part": part["part"].to_numpy(), "question": name, "slot": part["slot"].to_numpy(),
                              "kind": str(found.dtype), "columns": 1 if found.ndim == 1 else found.shape[1], "answer": out,
                              "tally": [tally] + [None] * (len(out) - 1)})
-    asked = each(blocks, put, "slot long, block long, hashes binary, numbers binary, kind string")
+    asked = each(blocks, put, "slot long, block long, hashes binary, numbers binary, kind string, part int")
     return written(asked.groupBy("slot").applyInPandas(
-        settle, "block long, question string, slot long, kind string, columns long, answer binary, tally array<double>"))
+        settle, "block long, part int, question string, slot long, kind string, columns long, answer binary, tally array<double>"))
 
 
 def tallies(answers: DataFrame, n: int) -> list[float]:

@@ -60,12 +60,14 @@ def _question(block: corpus.Block, bigrams: bool, n_slots: int) -> tuple[np.ndar
 
 
 def _totals(hashes: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, list[float]]:
-    """Count in all training texts and without the held ones; distinct and all tokens, for both."""
+    """Count in all training texts and, for held blocks, without the held ones; distinct and all tokens, for both."""
     kinds, back = np.unique(hashes, return_inverse=True)
     both = np.zeros((len(kinds), 2), np.int64)
     np.add.at(both[:, 0], back, np.abs(n))
     np.add.at(both[:, 1], back, np.maximum(n, 0))
-    return both[back], [float((both[:, 0] > 0).sum()), float(both[:, 0].sum()), float((both[:, 1] > 0).sum()), float(both[:, 1].sum())]
+    found = both[back]
+    found[n >= 0, 1] = 0
+    return found, [float((both[:, 0] > 0).sum()), float(both[:, 0].sum()), float((both[:, 1] > 0).sum()), float(both[:, 1].sum())]
 
 
 def _counts(block: corpus.Block, n_slots: int, column: int):
@@ -128,7 +130,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
         bin_ = np.where(both > 0, np.clip((ratio - LOWEST) / BIN, 0, BINS - 1).astype(np.int64), -1)
         code, n = np.unique(_bucket(context) * (BINS + 1) + bin_ + 1, return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], names=["code", "n"])
-    held = corpus.each(corpus.with_answers(packed.where(F.col("kind") == HELD), tokens, bigrams), bins, "code long, n long")
+    held = corpus.each(corpus.with_answers(packed.where(F.col("kind") == HELD), *[x.where(F.col("part") == HELD) for x in (tokens, bigrams)]), bins, "code long, n long")
     rows = held.groupBy("code").agg(F.sum("n")).collect()  # at most BUCKETS * (BINS + 1)
     weights = learn_weights(sorted((r[0] // (BINS + 1), r[0] % (BINS + 1) - 1, r[1]) for r in rows))
 

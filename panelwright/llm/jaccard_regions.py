@@ -3,9 +3,8 @@
 1 - Jaccard is a metric. Distances between texts are mostly near 1, where no pivot can tell them apart, so regions
 are first opened only around shingles that similar documents must share: of each set, the rarest
 quarter of its shingles. In every region a pivot is compared with all members. Members within the threshold of it are
-one component and need no more comparisons among each other; for the rest the triangle inequality leaves windows of pivot
-distance in which two of them can be similar. Small regions are joined in these windows, large ones are split into the Voronoi
-cells of several pivots, with documents near a border in more than one cell, and go through the same again.
+one component and need no more comparisons among each other. The others meet the members in the rings of pivot distance that the
+triangle inequality leaves, in groups of bounded size; those near a border are replicated.
 """
 
 from __future__ import annotations
@@ -28,8 +27,8 @@ LEAST = 75
 RADIUS = 1 - LEAST / 100
 # Counters of the sketch that says which shingles are rare (it only orders them), and the chunks it is merged in.
 COUNTERS, CHUNKS = 1 << 22, 64
-# Members up to which a region is joined within its windows, pivots of a larger one, and splits before its pairs are met in blocks.
-LEAF, PIVOTS, SPLITS = 48, 8, 4
+# Members of a region that meet in one task, on either side.
+BLOCK = 512
 # Ids (8 bytes each) up to which they are broadcast.
 BROADCAST_IDS = 1_000_000
 
@@ -90,8 +89,10 @@ def describe(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
 def regions(docs: DataFrame, steps: np.ndarray) -> DataFrame:
     """``region, set, n``: the sets that have a shingle among their rarest quarter, for every shingle that two of them have.
 
-    Two sets with similarity of 3/4 miss at most a quarter of each other, so in any order common to all sets they share one of
-    their first n - ceil(3n/4) + 1 shingles. Regions with the same members are kept once.
+    Linked sets of sizes x <= y have o = 3(x + y)/7 shingles in common. So in any order common to all sets they share one that
+    is among the first x - o + 1 of the one and the first y - o + 1 of the other; as x is at least 3y/4, the rarest quarter of a
+    set holds all that can matter. Within a region, ``low`` is the size of its smallest set that could be the smaller of two;
+    members whose shingle stands too late for any partner of that size or more go. Regions with the same members are kept once.
     """
     shared = docs.sparkSession.sparkContext.broadcast(steps)
 
@@ -110,14 +111,28 @@ def regions(docs: DataFrame, steps: np.ndarray) -> DataFrame:
             many = [len(x) for x in first]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(first).astype(np.int64) if first else np.empty(0, np.int64)),
-                 pa.array(np.repeat(np.array(sets, np.int64), many)), pa.array(np.repeat(np.array(sizes, np.int64), many))],
-                names=["region", "set", "n"])
-    posted = docs.select(F.col("text").cast("binary")).mapInArrow(run, "region long, set long, n long")
-    posted = posted.repartition("region").distinct()
-    several = posted.groupBy("region").agg(
-        F.count(F.lit(1)).alias("members"), F.bit_xor(F.xxhash64("set")).alias("a"), F.bit_xor(F.xxhash64(F.lit(1), F.col("set"))).alias("b"))
-    once = several.where(F.col("members") > 1).groupBy("members", "a", "b").agg(F.min("region").alias("region"))
-    return written(posted.join(once.select("region"), "region"))
+                 pa.array(np.repeat(np.array(sets, np.int64), many)), pa.array(np.repeat(np.array(sizes, np.int64), many)),
+                 pa.array(np.concatenate([np.arange(m) for m in many]) if many else np.empty(0, np.int64))],
+                names=["region", "set", "n", "place"])
+    posted = docs.select(F.col("text").cast("binary")).mapInArrow(run, "region long, set long, n long, place long")
+    # one exchange and one sort: equal rows of several tasks go, then every row learns of the others in its region
+    by_set = Window.partitionBy("region").orderBy("set")
+    once = posted.withColumn("_last", F.lag("set").over(by_set)).where("_last IS NULL OR _last != set").drop("_last")
+    whole = Window.partitionBy("region")
+    n, place = F.col("n"), F.col("place")
+    low = F.min(F.when(place <= n - _overlap(n, n), n)).over(whole)
+    least = F.greatest("_low", F.ceil(n * LEAST / 100))
+    once = once.withColumn("_low", low).where((place <= n - _overlap(n, n)) | (place <= n - _overlap(least, n)))
+    several = written(once.select("region", "set", "n").withColumns({
+        "members": F.count(F.lit(1)).over(whole), "a": F.bit_xor(F.xxhash64("set")).over(whole),
+        "b": F.bit_xor(F.xxhash64(F.lit(1), F.col("set"))).over(whole)}).where(F.col("members") > 1))
+    kept = several.groupBy("members", "a", "b").agg(F.min("region").alias("region"))
+    return written(several.select("region", "set", "n").join(kept.select("region"), "region"))
+
+
+def _overlap(x: Column, y: Column) -> Column:
+    """Shingles that linked sets of sizes ``x`` and ``y`` have in common at least."""
+    return F.ceil((x + y) * LEAST / (100 + LEAST) - 1e-9)
 
 
 def bodies(docs: DataFrame, described: DataFrame, members: DataFrame) -> DataFrame:
@@ -192,92 +207,84 @@ def _sized(a: str, b: str) -> Column:
     return F.least(F.col(a), F.col(b)) * 100 >= F.greatest(F.col(a), F.col(b)) * LEAST
 
 
-def _with_known(pairs: DataFrame, known: DataFrame, texts: DataFrame) -> DataFrame:
-    """``known`` and the distances of the pairs that aren't in it."""
-    new = pairs.distinct().join(known.select("a", "b"), ["a", "b"], "left_anti")
-    return written(known.unionByName(distances(new, texts)))
-
-
 def _ordered(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def _measured(rows: DataFrame, known: DataFrame) -> DataFrame:
-    """``rows`` (of ``set`` and ``pivot``) with their distance ``d``; NULL if sizes forbade a link and none was taken."""
-    d = known.select("a", "b", (1 - F.col("inter") / F.col("whole")).alias("d"))
-    keyed = rows.withColumns({"a": F.least("set", "pivot"), "b": F.greatest("set", "pivot")})
-    return keyed.join(d, ["a", "b"], "left").drop("a", "b")
-
-
 def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members with their component, of regions that hold more than one."""
+    """Members with their component, of regions that hold more than one, and whether they are ``outside`` the region's largest."""
     own = members.join(labels, "set", "left").withColumn("label", F.coalesce("label", "set"))
-    counted = own.groupBy("region").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi"), F.count(F.lit(1)).alias("members"))
-    return own.join(counted.where("_lo < _hi").drop("_lo", "_hi"), "region")
-
-
-def _windowed(rows: DataFrame) -> DataFrame:
-    """Pairs of the members of small regions that may be linked: by component, size, and distance from the pivot."""
-    x = rows.select("region", F.col("set").alias("x"), F.col("n").alias("nx"), F.col("label").alias("lx"), F.col("d").alias("dx"))
-    y = rows.select("region", F.col("set").alias("y"), F.col("n").alias("ny"), F.col("label").alias("ly"), F.col("d").alias("dy"))
-    near = F.coalesce(F.abs(F.col("dx") - F.col("dy")) <= RADIUS + 1e-9, F.lit(True))
-    return x.join(y, "region").where((F.col("x") < F.col("y")) & (F.col("lx") != F.col("ly")) & _sized("nx", "ny") & near).select(*_ordered("x", "y"))
-
-
-def _cells(large: DataFrame, known: DataFrame, pivots: DataFrame) -> DataFrame:
-    """Voronoi cells of the pivots: ``region, set, n, pivot, d``. A member is at home with its nearest pivot, and a guest where
-    a member at home can be within the threshold: not farther than the cell's radius, nor than its own home, plus the window."""
-    reach = _measured(large.select("region", "set", "n").join(pivots, "region"), known).withColumn(
-        "d", F.when(F.col("set") == F.col("pivot"), F.lit(0.0)).otherwise(F.col("d")))
-    home = Window.partitionBy("region", "set")
-    reach = reach.withColumn("_home", F.min(F.struct("d", "pivot")).over(home))
-    radius = reach.where(F.col("pivot") == F.col("_home.pivot")).groupBy("region", "pivot").agg(F.max("d").alias("_radius"))
-    inside = F.col("d") <= F.least(F.col("_radius") + RADIUS, F.col("_home.d") + 2 * RADIUS) + 1e-9
-    return (reach.join(radius, ["region", "pivot"]).where(inside & (F.col("set") != F.col("pivot")))
-            .select(F.xxhash64("region", "pivot").alias("region"), "set", "n", "pivot", "d"))
-
-
-def _in_blocks(rows: DataFrame) -> DataFrame:
-    """All pairs that size and component allow, block against block, so that no task holds a region."""
-    parts = F.greatest(F.lit(1), F.ceil(F.col("members") / LEAF)).cast("int")
-    dealt = rows.withColumn("_part", F.pmod(F.xxhash64("set"), parts)).withColumn("_parts", parts)
-    x = dealt.select("region", F.col("set").alias("x"), F.col("n").alias("nx"), F.col("label").alias("lx"), F.col("_part").alias("px"),
-                     F.explode(F.sequence(F.col("_part"), F.col("_parts") - 1)).alias("py"))
-    y = dealt.select("region", F.col("set").alias("y"), F.col("n").alias("ny"), F.col("label").alias("ly"), F.col("_part").alias("py"),
-                     F.explode(F.sequence(F.lit(0), F.col("_part"))).alias("px"))
-    return (x.join(y, ["region", "px", "py"]).where((F.col("x") != F.col("y")) & (F.col("lx") != F.col("ly")) & _sized("nx", "ny"))
-            .select(*_ordered("x", "y")))
+    sizes = own.groupBy("region", "label").agg(F.count(F.lit(1)).alias("size"))
+    state = sizes.groupBy("region").agg(F.count(F.lit(1)).alias("labels"), F.sum("size").alias("members"), F.max(F.struct("size", "label")).alias("top"))
+    state = state.where("labels > 1").select("region", "members", (F.col("members") - F.col("top.size")).alias("others"), F.col("top.label").alias("top"))
+    return own.join(state, "region").withColumn("outside", F.col("label") != F.col("top")).drop("top")
+
+
+def _rings(rows: DataFrame) -> DataFrame:
+    """Members in groups ``region, ring, part, with_part`` of bounded size, such that every member outside the largest component
+    meets all that can be linked to it.
+
+    A ring holds the members whose distance from the pivot lies within one window. By the triangle inequality a link reaches no
+    farther than the next ring, so a member outside is replicated to its own ring and the two beside it.
+    """
+    ring = F.floor(F.col("d") / (RADIUS + 1e-9)).cast("int")
+    parts, with_parts = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("members", "others"))
+    part, with_part = (F.pmod(F.xxhash64("set"), n).cast("int") for n in (parts, with_parts))
+    met = rows.select("region", ring.alias("ring"), part.alias("part"), F.explode(F.sequence(F.lit(0), with_parts - 1)).alias("with_part"),
+                      "set", "label", F.lit(False).alias("asks"))
+    asks = rows.where("outside").select("region", F.explode(F.sequence(ring - 1, ring + 1)).alias("ring"), parts.alias("_parts"), with_part.alias("with_part"),
+                                        "set", "label", F.lit(True).alias("asks"))
+    asks = asks.where("ring >= 0").select("region", "ring", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("part"), "with_part", "set", "label", "asks")
+    return met.unionByName(asks)
+
+
+def _join_group(part: pd.DataFrame) -> pd.DataFrame:
+    """Links between the members that ask and those they meet; of links that join the same two components, the first."""
+    part = part.sort_values(["asks", "set"])
+    unpack, asks = zstandard.ZstdDecompressor(), part["asks"].to_numpy()
+    out: list[tuple[int, int]] = []
+    if asks.any() and not asks.all():
+        keys, labels = part["set"].to_numpy(), part["label"].to_numpy()
+        sets = list(shingle_sets([unpack.decompress(b) for b in part["body"]]))
+        sizes = np.array([len(x) for x in sets])
+        _, flat = np.unique(np.concatenate(sets), return_inverse=True)
+        starts = np.concatenate([[0], np.cumsum(sizes)])
+        n = int((~asks).sum())
+        flat_met, starts_met = flat[:starts[n]], starts[:n]
+        mark, joined = np.zeros(flat.max() + 1, np.int64), {}
+
+        def find(x: int) -> int:
+            while joined.get(x, x) != x:
+                x = joined[x]
+            return x
+        for k in range(n, len(keys)):
+            mark[:] = 0
+            mark[flat[starts[k]:starts[k + 1]]] = 1
+            inter = np.add.reduceat(mark[flat_met], starts_met)
+            for j in np.flatnonzero((inter * 100 >= (sizes[:n] + sizes[k] - inter) * LEAST) & (labels[:n] != labels[k])):
+                p, q = find(int(labels[j])), find(int(labels[k]))
+                if p != q:
+                    joined[p] = q
+                    out.append((min(keys[j], keys[k]), max(keys[j], keys[k])))
+    return pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
 
 
 def links(docs: DataFrame, described: DataFrame, steps: np.ndarray) -> DataFrame:
     """Enough links ``a, b`` between sets to connect every component, written."""
     members = regions(docs, steps)
     texts = bodies(docs, described, members)
-    # one pivot for each region; pairs that many regions have are compared once
-    pivots = members.groupBy("region").agg(F.min_by(F.struct("set", "n"), F.xxhash64("set")).alias("p"))
-    starred = members.join(pivots, "region").where(F.col("set") != F.col("p.set")).select(
-        "region", "set", "n", F.col("p.set").alias("pivot"), F.col("p.n").alias("np"))
-    starred = written(starred)
-    known = distances(starred.where(_sized("n", "np")).select(*_ordered("set", "pivot")).distinct(), texts)
-    cells = starred.drop("np")
-    for split in range(SPLITS + 1):
-        labels = components(known.where(linked()))
-        rows = written(_open(cells, labels))
-        if rows.limit(1).count() == 0:
-            break
-        small = _measured(rows.where(F.col("members") <= LEAF).drop("d"), known)
-        large = rows.where(F.col("members") > LEAF)
-        if split == SPLITS:
-            return written(_with_known(_windowed(small).unionAll(_in_blocks(large)), known, texts).where(linked()).select("a", "b"))
-        # pivots of different components, in the order of a hash
-        by_label = large.groupBy("region", "label").agg(F.min_by("set", F.xxhash64(F.lit(split), F.col("set"))).alias("pivot"))
-        order = Window.partitionBy("region").orderBy(F.xxhash64(F.lit(split), F.col("pivot")))
-        chosen = written(by_label.withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= PIVOTS).select("region", "pivot"))
-        # whatever their sizes: the cells need every distance
-        to_pivots = large.select("region", "set").join(chosen, "region").where(F.col("set") != F.col("pivot"))
-        known = _with_known(_windowed(small).unionAll(to_pivots.select(*_ordered("set", "pivot"))), known, texts)
-        cells = written(_cells(large, known, chosen))
-    return written(known.where(linked()).select("a", "b"))
+    # one pivot for each region, the member that shares most shingles: an original rather than one of its edited copies.
+    # Pairs that many regions have are compared once
+    weights = members.groupBy("set").agg(F.count(F.lit(1)).alias("w"))
+    pivots = members.join(weights, "set").groupBy("region").agg(F.max(F.struct("w", F.xxhash64("set").alias("h"), "set")).alias("p"))
+    starred = members.join(pivots, "region").where(F.col("set") != F.col("p.set")).select("region", "set", F.col("p.set").alias("pivot"))
+    starred = written(starred.withColumns({"a": F.least("set", "pivot"), "b": F.greatest("set", "pivot")}))
+    known = distances(starred.select("a", "b").distinct(), texts)
+    d = known.select("a", "b", (1 - F.col("inter") / F.col("whole")).alias("d"))
+    labels = components(known.where(linked()))
+    rows = written(_open(starred.join(d, ["a", "b"]).select("region", "set", "d"), labels))
+    found = (_rings(rows).join(texts, "set").groupBy("region", "ring", "part", "with_part").applyInPandas(_join_group, "a long, b long"))
+    return written(known.where(linked()).select("a", "b").unionAll(found))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

@@ -76,10 +76,8 @@ def test_components(spark, corpus, monkeypatch):
         if i is not None:
             least[find(k)].append(i)
     want = sorted((str(i), len(x), str(min(least[find(k)], default=None) if x else i)) for k, (i, x) in enumerate(s))
-    for leaf, pivots, splits in ((48, 8, 4), (2, 2, 2), (2, 2, 0)):
-        monkeypatch.setattr(jaccard_regions, "LEAF", leaf)
-        monkeypatch.setattr(jaccard_regions, "PIVOTS", pivots)
-        monkeypatch.setattr(jaccard_regions, "SPLITS", splits)
+    for block in (512, 2):
+        monkeypatch.setattr(jaccard_regions, "BLOCK", block)
         got = jaccard_regions.near_duplicates(docs_of(spark, corpus)).collect()
         assert sorted((str(r[0]), r[1], str(r[2])) for r in got) == want
     kept = jaccard_regions.keep_first(docs_of(spark, corpus))
@@ -89,13 +87,11 @@ def test_components(spark, corpus, monkeypatch):
 
 
 def test_chain_of_unlike_sets_that_share_a_hot_passage(spark, monkeypatch):
-    """Texts that are mostly one passage: regions with many components, which go through cells."""
+    """Texts that are mostly one passage: regions with many components, whose members meet in groups."""
     hot = [f"h{k}" for k in range(30)]
     rows = [(i, " ".join(hot[i % 4:] + [f"x{i}_{k}" for k in range(9 + i % 3)]), "s") for i in range(60)]
     rows += [(100 + i, rows[i][1] + " tail", "s") for i in range(0, 60, 7)]
-    monkeypatch.setattr(jaccard_regions, "LEAF", 5)
-    monkeypatch.setattr(jaccard_regions, "PIVOTS", 3)
-    monkeypatch.setattr(jaccard_regions, "SPLITS", 2)
+    monkeypatch.setattr(jaccard_regions, "BLOCK", 5)
     got = {r[0]: r[2] for r in jaccard_regions.near_duplicates(docs_of(spark, rows)).collect()}
     sets = {i: {tuple(w[j:j + 5]) for j in range(len(w) - 4)} for i, w in ((i, t.split()) for i, t, _ in rows)}
     want = {i: min([j for j in sets if 4 * len(sets[i] & sets[j]) >= 3 * len(sets[i] | sets[j])]) for i in sets}
