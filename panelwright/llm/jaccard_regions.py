@@ -29,6 +29,8 @@ RADIUS = 1 - LEAST / 100
 COUNTERS, CHUNKS = 1 << 22, 64
 # Members of a region that meet in one task, on either side.
 BLOCK = 512
+# Rows of open regions for each call that joins their groups.
+BUCKET_ROWS = 4000
 # Ids (8 bytes each) up to which they are broadcast.
 BROADCAST_IDS = 1_000_000
 
@@ -238,35 +240,49 @@ def _rings(rows: DataFrame) -> DataFrame:
     return met.unionByName(asks)
 
 
-def _join_group(part: pd.DataFrame) -> pd.DataFrame:
-    """Links between the members that ask and those they meet; of links that join the same two components, the first."""
-    part = part.sort_values(["asks", "set"])
-    unpack, asks = zstandard.ZstdDecompressor(), part["asks"].to_numpy()
+_GROUP = ["region", "ring", "part", "with_part"]
+
+
+def _join_groups(rows: pd.DataFrame) -> pd.DataFrame:
+    """Links between the members that ask and those they meet, group by group; of links that join the same two components, the first."""
+    rows = rows.sort_values([*_GROUP, "asks", "set"])
+    unpack = zstandard.ZstdDecompressor()
+    once = rows.drop_duplicates("set")
+    own = dict(zip(once["set"], shingle_sets([unpack.decompress(b) for b in once["body"]]), strict=True))
+    group = rows[_GROUP].to_numpy()
+    cuts = np.flatnonzero(np.concatenate([[True], (group[1:] != group[:-1]).any(axis=1)]))
+    asks, keys, labels = rows["asks"].to_numpy(), rows["set"].to_numpy(), rows["label"].to_numpy()
     out: list[tuple[int, int]] = []
-    if asks.any() and not asks.all():
-        keys, labels = part["set"].to_numpy(), part["label"].to_numpy()
-        sets = list(shingle_sets([unpack.decompress(b) for b in part["body"]]))
-        sizes = np.array([len(x) for x in sets])
-        _, flat = np.unique(np.concatenate(sets), return_inverse=True)
-        starts = np.concatenate([[0], np.cumsum(sizes)])
-        n = int((~asks).sum())
-        flat_met, starts_met = flat[:starts[n]], starts[:n]
-        mark, joined = np.zeros(flat.max() + 1, np.int64), {}
-
-        def find(x: int) -> int:
-            while joined.get(x, x) != x:
-                x = joined[x]
-            return x
-        for k in range(n, len(keys)):
-            mark[:] = 0
-            mark[flat[starts[k]:starts[k + 1]]] = 1
-            inter = np.add.reduceat(mark[flat_met], starts_met)
-            for j in np.flatnonzero((inter * 100 >= (sizes[:n] + sizes[k] - inter) * LEAST) & (labels[:n] != labels[k])):
-                p, q = find(int(labels[j])), find(int(labels[k]))
-                if p != q:
-                    joined[p] = q
-                    out.append((min(keys[j], keys[k]), max(keys[j], keys[k])))
-    return pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
+    for s, e in zip(cuts, [*cuts[1:], len(rows)], strict=True):
+        n = int((~asks[s:e]).sum())
+        if 0 < n < e - s:
+            out += _join_group(keys[s:e], labels[s:e], [own[k] for k in keys[s:e]], n)
+    return pd.DataFrame(sorted(set(out)), columns=["a", "b"], dtype=np.int64)
+
+
+def _join_group(keys: np.ndarray, labels: np.ndarray, sets: list[np.ndarray], n: int) -> list[tuple[int, int]]:
+    """The first ``n`` members are met by the others."""
+    out = []
+    sizes = np.array([len(x) for x in sets])
+    _, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    mark, joined = np.zeros(flat.max() + 1, np.int64), {}
+
+    def find(x: int) -> int:
+        while joined.get(x, x) != x:
+            x = joined[x]
+        return x
+    for k in range(n, len(keys)):
+        mine = flat[starts[k]:starts[k + 1]]
+        mark[mine] = 1
+        inter = np.add.reduceat(mark[flat[:starts[n]]], starts[:n])
+        mark[mine] = 0
+        for j in np.flatnonzero((inter * 100 >= (sizes[:n] + sizes[k] - inter) * LEAST) & (labels[:n] != labels[k])):
+            p, q = find(int(labels[j])), find(int(labels[k]))
+            if p != q:
+                joined[p] = q
+                out.append((min(int(keys[j]), int(keys[k])), max(int(keys[j]), int(keys[k]))))
+    return out
 
 
 def links(docs: DataFrame, described: DataFrame, steps: np.ndarray) -> DataFrame:
@@ -283,7 +299,10 @@ def links(docs: DataFrame, described: DataFrame, steps: np.ndarray) -> DataFrame
     d = known.select("a", "b", (1 - F.col("inter") / F.col("whole")).alias("d"))
     labels = components(known.where(linked()))
     rows = written(_open(starred.join(d, ["a", "b"]).select("region", "set", "d"), labels))
-    found = (_rings(rows).join(texts, "set").groupBy("region", "ring", "part", "with_part").applyInPandas(_join_group, "a long, b long"))
+    # small groups share a task's call; a bucket has some thousand rows
+    buckets = max(1, rows.count() // BUCKET_ROWS)
+    met = _rings(rows).withColumn("bucket", F.pmod(F.xxhash64(*_GROUP), F.lit(buckets)))
+    found = met.join(texts, "set").groupBy("bucket").applyInPandas(_join_groups, "a long, b long")
     return written(known.where(linked()).select("a", "b").unionAll(found))
 
 
