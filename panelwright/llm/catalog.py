@@ -82,10 +82,11 @@ FROM documents LEFT JOIN kept USING (doc_id) GROUP BY doc_id"""
 
 @query
 def op8_string_tiling(spark, sf_dir):
-    """The benchmark item that each document covers most, and whether that is contamination."""
+    """The benchmark item that each document covers most, whether that is contamination, and all items that contaminate it."""
     out = string_tiling.coverage(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), drop=("text",))
     return out.select("doc_id", "item_id", "coverage", "n_covered", (F.size("tiles") / 3).cast("int").alias("n_tiles"),
-                      (F.col("coverage") >= string_tiling.COVERAGE).alias("contaminated"))
+                      (F.col("coverage") >= string_tiling.COVERAGE).alias("contaminated"), "items", "item_coverage",
+                      F.transform("item_tiles", lambda t: (F.size(t) / 3).cast("int")).alias("item_n_tiles"))
 
 
 @query

@@ -8,6 +8,7 @@ again. The share of an item's words under tiles is its coverage, in whatever ord
 from __future__ import annotations
 
 import heapq
+import math
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -88,10 +89,12 @@ def tiles(in_doc: np.ndarray, in_item: np.ndarray, tile: int) -> list[tuple[int,
     return out
 
 
-def _tiler(seeds: Seeds):
-    """Best coverage of any item in each text: coverage, index of the item, words covered, tiles as flat triples."""
+def _tiler(seeds: Seeds, least: float):
+    """For each text the item it covers most (coverage, id, words covered, tiles as flat triples), and ids, coverages and
+    tiles of all items that it covers by ``least`` or more."""
     def compute(texts: list[bytes]) -> list[list]:
         best = [(0.0, None, 0, [])] * len(texts)
+        listed: list[list] = [[] for _ in texts]
         for first, some in pieces(texts):
             hashes, begins = words(some, lower=True)
             found: dict[tuple[int, int], list] = {}
@@ -106,50 +109,65 @@ def _tiler(seeds: Seeds):
                     found[int(doc[s]), int(item[s])] = [n, place[s:e], pos[s:e]]
             for (doc, item), (n, place, pos) in sorted(found.items()):
                 size = len(seeds.items[item])
-                # seeds alone may cover too little to beat what is known
-                if len(np.unique((pos[:, None] + np.arange(n)).ravel())) / size <= best[first + doc][0]:
+                # seeds alone may cover too little to be listed or to beat what is known
+                most = len(np.unique((pos[:, None] + np.arange(n)).ravel())) / size
+                if most < least and most <= best[first + doc][0]:
                     continue
                 laid = tiles(place, pos, n)
                 covered = sum(t[2] for t in laid)
+                flat = [x for t in laid for x in t]
+                if covered / size >= least:
+                    listed[first + doc].append((seeds.ids[item], covered / size, flat))
                 if covered / size > best[first + doc][0]:
-                    best[first + doc] = (covered / size, seeds.ids[item], covered, [x for t in laid for x in t])
-        return [list(x) for x in zip(*best, strict=True)] if best else [[], [], [], []]
+                    best[first + doc] = (covered / size, seeds.ids[item], covered, flat)
+        every = [sorted(x) for x in listed]
+        return [*([b[k] for b in best] for k in range(4)), *([[x[k] for x in some] for some in every] for k in range(3))]
     return compute
 
 
-def coverage(docs: DataFrame, benchmark: DataFrame, tile: int = MIN_TILE, drop: tuple[str, ...] = ()) -> DataFrame:
-    """``docs`` with the benchmark item it covers most: ``coverage, item_id, n_covered, tiles``.
+_BEST = ["coverage", "item_id", "n_covered", "tiles"]
+_LISTED = ["items", "item_coverage", "item_tiles"]
 
-    ``tiles`` holds place in the item, place in the document and words of each tile, one after the other.
+
+def coverage(docs: DataFrame, benchmark: DataFrame, tile: int = MIN_TILE, drop: tuple[str, ...] = (), least: float = COVERAGE) -> DataFrame:
+    """``docs`` with the benchmark item it covers most, ``coverage, item_id, n_covered, tiles``, and with all items that it
+    covers by ``least`` or more, ``items, item_coverage, item_tiles``: arrays of one length, in order of the ids.
+
+    Tiles are given as place in the item, place in the document and words of each, one after the other.
     Words are compared with A-Z in lower case. An item below ``tile`` words must occur as a whole; items
-    without words are left out. Of equal coverage the item with the smaller id counts. NULL and empty texts, and all
-    texts where the benchmark is empty, have coverage 0 and no item. Rows that repeat are each tiled; columns of the same names
+    without words are left out. Of equal coverage the item with the smaller id counts as the best. NULL and empty texts, and all
+    texts where the benchmark is empty, have coverage 0 and no item. Rows of ``docs`` that repeat are each tiled, equal rows of
+    the benchmark are one item; columns of the same names
     are replaced. The benchmark is held in chunks of ``CHUNK_BYTES``, each in its own pass over the documents.
     """
     items = benchmark.where(F.length("text") > 0).select(F.col("item_id").cast("long"), F.col("text").cast("binary").alias("text"))
     size = items.agg(F.sum(F.length("text"))).first()[0] or 0
     chunks = -(-size // CHUNK_BYTES)
-    known = ["coverage", "item_id", "n_covered", "tiles"]
+    known = [*_BEST, *_LISTED]
     out = docs.select(*[c for c in docs.columns if c not in known]).withColumns({
         "coverage": F.lit(0.0), "item_id": F.lit(None).cast("long"), "n_covered": F.lit(0).cast("long"),
-        "tiles": F.array().cast("array<bigint>")})
+        "tiles": F.array().cast("array<bigint>"), "items": F.array().cast("array<bigint>"),
+        "item_coverage": F.array().cast("array<double>"), "item_tiles": F.array().cast("array<array<bigint>>")})
     for k in range(chunks):
-        held = sorted((r[0] if r[0] is not None else -1, bytes(r[1]))
-                      for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(chunks)) == k).collect())
+        held = sorted({(r[0] if r[0] is not None else -1, bytes(r[1]))
+                       for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(chunks)) == k).collect()})
         if chunks == 1:
-            return _one(docs.select(*[c for c in docs.columns if c not in known]), held, tile, drop)
-        new = _one(out, held, tile, (), "_")
+            return _one(docs.select(*[c for c in docs.columns if c not in known]), held, tile, least, drop)
+        new = _one(out, held, tile, least, (), "_")
         better = (F.col("_coverage") > F.col("coverage")) | ((F.col("_coverage") == F.col("coverage")) & (F.col("_item_id") < F.col("item_id")))
-        out = new.withColumns({c: F.when(better, F.col(f"_{c}")).otherwise(F.col(c)) for c in known}).drop(*[f"_{c}" for c in known])
-    return out.drop(*drop)
+        out = new.withColumns({c: F.when(better, F.col(f"_{c}")).otherwise(F.col(c)) for c in _BEST}
+                              | {c: F.concat(c, f"_{c}") for c in _LISTED}).drop(*[f"_{c}" for c in known])
+    every = F.array_sort(F.arrays_zip(*_LISTED))  # by id over all chunks
+    return out.withColumns({c: every[c] for c in _LISTED}).drop(*drop)
 
 
-def _one(docs: DataFrame, held: list[tuple[int, bytes]], tile: int, drop: tuple[str, ...], prefix: str = "") -> DataFrame:
+def _one(docs: DataFrame, held: list[tuple[int, bytes]], tile: int, least: float, drop: tuple[str, ...], prefix: str = "") -> DataFrame:
     ids, texts = [r[0] for r in held], [r[1] for r in held]
-    added = f"{prefix}coverage double, {prefix}item_id long, {prefix}n_covered long, {prefix}tiles array<bigint>"
-    return add_columns(docs, "text", added, lambda: _tiler(Seeds(ids, texts, tile)), drop)
+    kinds = ["double", "long", "long", "array<bigint>", "array<bigint>", "array<double>", "array<array<bigint>>"]
+    added = ", ".join(f"{prefix}{c} {k}" for c, k in zip([*_BEST, *_LISTED], kinds, strict=True))
+    return add_columns(docs, "text", added, lambda: _tiler(Seeds(ids, texts, tile), least), drop)
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, least: float = COVERAGE, tile: int = MIN_TILE) -> DataFrame:
-    """``docs`` without those that cover at least ``least`` of an item; one pass over the texts."""
-    return coverage(docs, benchmark, tile).where(F.col("coverage") < least).select(*docs.columns)
+    """``docs`` without those that cover at least ``least`` of an item; one pass over the texts, which lists no further items."""
+    return coverage(docs, benchmark, tile, least=math.inf).where(F.col("coverage") < least).select(*docs.columns)

@@ -289,6 +289,29 @@ def test_tiling(spark, monkeypatch):
     assert len(none) == len(rows) and all(r.coverage == 0 and r.item_id is None for r in none)
 
 
+def test_every_item_of_a_page_is_listed(spark, monkeypatch):
+    items = [(k, " ".join(f"q{k}_{j}" for j in range(12))) for k in range(6)]
+    items += [(6, items[2][1]), (7, items[2][1]), (7, items[2][1]), (8, "Short one"), (9, f"{items[0][1]} and {items[1][1]}")]
+    half = " ".join(items[3][1].split()[:6])
+    rows = [(1, f"page {items[2][1]} x {items[5][1]} y {half} z short ONE", "s"), (2, items[4][1], "s"), (3, items[0][1], "s"),
+            (4, " ".join(items[1][1].split()[:5]), "s"), *ODD]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = {1: [2, 3, 5, 6, 7, 8], 2: [4], 3: [0], 4: []}
+    for chunk in (1 << 25, 150):
+        monkeypatch.setattr(string_tiling, "CHUNK_BYTES", chunk)
+        got = string_tiling.coverage(docs_of(spark, rows), bench).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            if r.text in {t for _, t, _ in rows[:4]}:
+                assert r["items"] == want[r.doc_id]
+            else:
+                assert r["items"] == []
+            assert len(r["items"]) == len(r.item_coverage) == len(r.item_tiles) and all(c >= 0.5 for c in r.item_coverage)
+            assert bool(r["items"]) == (r.coverage >= 0.5) and (not r["items"] or r.item_tiles[r["items"].index(r.item_id)] == r.tiles)
+        page = next(r for r in got if r.doc_id == 1 and r.text)
+        assert page.item_id == 2 and page.item_coverage == [1.0, 0.5, 1.0, 1.0, 1.0, 1.0] and page.item_tiles[1] == [0, 27, 6]
+
+
 def test_quality(spark):
     rng = np.random.default_rng(4)
     rows, labels = [], []
