@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 
 import numpy as np
 from pyspark.ml.classification import GBTClassifier
@@ -33,6 +34,9 @@ HIDDEN = frozenset("head script style noscript template svg iframe object textar
                    "canvas audio video".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small "
                    "span strike strong sub sup time tt u var".split())
+# Inline elements that go on behind the end of a block around them, up to the end of a cell.
+FORMATTING = frozenset("a b big code em font i s small strike strong tt u".split())
+CELLS = frozenset("td th caption button object".split())
 ENDS_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 "
                    "h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 ENDS_SAME = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"),
@@ -58,6 +62,9 @@ class Page:
         self.runs: list[list] = []
         self.link = [0]
         self._open, self._links, self._fresh = [0], 0, True
+        # by name, the inline elements not ended yet: ``(node, True)``, or without a node of their own ``(node that holds it, False)``
+        self._inline: dict[str, list[tuple[int, bool]]] = {}
+        self._is_open, self._cells, self._blocks = [True], [0], [0]
         self._read(source)
 
     def _text(self, text: str) -> None:
@@ -78,8 +85,11 @@ class Page:
         if attributes and "=" in attributes:
             found = " ".join("".join(m) for m in _ATTRIBUTE.findall(attributes))
             tokens = frozenset(t.lower() for t in _TOKEN.findall(found))
+        if tag == "a":
+            self._end_inline(tag)  # links don't nest
         if tag in INLINE and not tokens & AWAY:
             self._links += tag == "a"
+            self._inline.setdefault(tag, []).append((self._last(self._cells) if tag in FORMATTING else self._open[-1], False))
             return
         if tag == "br":
             self._text(" ")
@@ -94,15 +104,46 @@ class Page:
         self.parent.append(self._open[-1])
         self.tokens.append(tokens)
         self.link.append(0)
-        self._open.append(len(self.tag) - 1)
+        node = len(self.tag) - 1
+        self._open.append(node)
+        self._is_open.append(True)
         self._fresh = True
+        if tag in INLINE:
+            self._inline.setdefault(tag, []).append((node, True))
+        else:
+            self._blocks.append(node)
+            if tag in CELLS:
+                self._cells.append(node)
+
+    def _last(self, nodes: list[int]) -> int:
+        while not self._is_open[nodes[-1]]:
+            nodes.pop()
+        return nodes[-1]
+
+    def _cut(self, k: int) -> None:
+        for node in self._open[k:]:
+            self._is_open[node] = False
+        del self._open[k:]
+        self._fresh, self._links = True, 0
+
+    def _end_inline(self, tag: str) -> None:
+        """Ends the innermost ``tag`` that is open. One that began before a cell, or for all but formatting before a block, stays."""
+        held = self._inline.get(tag, [])
+        while held and not self._is_open[held[-1][0]]:
+            held.pop()
+        if not held or held[-1][0] < self._last(self._cells if tag in FORMATTING else self._blocks):
+            return
+        node, own = held.pop()
+        if own:
+            self._cut(bisect_left(self._open, node))
+        elif tag == "a":
+            self._links = max(0, self._links - 1)
 
     def _close(self, tag: str, within: tuple[str, ...] = ()) -> None:
         for k in range(len(self._open) - 1, 0, -1):
             name = self.tag[self._open[k]]
             if name == tag:
-                del self._open[k:]
-                self._fresh, self._links = True, 0
+                self._cut(k)
                 return
             if name in within:
                 return
@@ -133,11 +174,11 @@ class Page:
                     at = n if end < 0 else end + 1
                     closes, tag, rest = s[lt + 1] == "/", re.split(r"[\s/>]", s[lt + 1:lt + 40].strip("/"), maxsplit=1)[0].lower(), ""
                 if closes:
-                    if tag == "a":
-                        self._links = max(0, self._links - 1)
-                    elif tag == "br":
+                    if tag == "br":
                         self._text(" ")
-                    if tag != "a":
+                    if tag in INLINE:
+                        self._end_inline(tag)
+                    else:
                         self._close(tag)
                     continue
                 self._start(tag, rest)

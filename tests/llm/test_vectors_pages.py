@@ -94,6 +94,25 @@ def test_choice_has_no_contradiction():
     assert keep.tolist() == [True, True, True, False, False, False]
 
 
+def kept_by_signs(source):
+    page = page_text.Page(source)
+    away = page_text.features(page)[:, page_text.NAMES.index("away_up")]
+    return page_text.main_text(page, page_text.decode(page, np.where(away > 0, -1.0, 1.0)))
+
+
+@pytest.mark.parametrize(("source", "want"), [
+    ('<p>Text <a class="related-link">x</a> and the rest</p>', "Text and the rest"),
+    ('<p>Text <a class="share" href=1>x <a href=2>link</a> and the rest</p>', "Text link and the rest"),
+    ("<p>Text <span class=ad>buy <span>now</span> cheap</span> and the rest</p>", "Text and the rest"),
+    ("<p>Text <b class=promo>buy <a href=1>now <b>it</b></a> cheap</b> and the rest</p>", "Text and the rest"),
+    ("<div>Text <span class=ad><p>buy <span>one<p>two</span> three</p></span> and the rest</div>", "Text and the rest"),
+    ("<div>Text <b class=ad><table><tr><td><b>buy</td></tr></table></b> and the rest</div>", "Text and the rest"),
+    ("<p>Text <span>a <a class=tags>x</a> b</span> c</a> and the rest</p>", "Text a b c and the rest"),
+])
+def test_end_tags_close_their_own_start(source, want):
+    assert kept_by_signs(source) == want
+
+
 def test_hard_markup_takes_linear_time():
     for text in ("<" * 200_000, "<a b=\"" * 30_000, "<!--" * 50_000, "<script>" * 30_000, "<div>" * 20_000):
         page = page_text.Page(text)
