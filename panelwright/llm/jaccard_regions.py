@@ -29,7 +29,7 @@ RADIUS = 1 - LEAST / 100
 COUNTERS, CHUNKS = 1 << 22, 64
 # Members of a region that meet in one task, on either side.
 BLOCK = 512
-# Rows of open regions for each call that joins their groups.
+# Rows of groups, members replicated, for each call that joins them.
 BUCKET_ROWS = 4000
 # Ids (8 bytes each) up to which they are broadcast.
 BROADCAST_IDS = 1_000_000
@@ -222,6 +222,16 @@ def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
     return own.join(state, "region").withColumn("outside", F.col("label") != F.col("top")).drop("top")
 
 
+def _parts(members: str) -> Column:
+    return F.ceil(F.col(members) / BLOCK).cast("int")
+
+
+def _ring_rows(rows: DataFrame) -> int:
+    """Rows that ``_rings`` makes of these, or a few more."""
+    many = _parts("others").cast("long") + F.when(F.col("outside"), 3 * _parts("members").cast("long")).otherwise(0)
+    return rows.agg(F.sum(many)).first()[0] or 0
+
+
 def _rings(rows: DataFrame) -> DataFrame:
     """Members in groups ``region, ring, part, with_part`` of bounded size, such that every member outside the largest component
     meets all that can be linked to it.
@@ -230,7 +240,7 @@ def _rings(rows: DataFrame) -> DataFrame:
     farther than the next ring, so a member outside is replicated to its own ring and the two beside it.
     """
     ring = F.floor(F.col("d") / (RADIUS + 1e-9)).cast("int")
-    parts, with_parts = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("members", "others"))
+    parts, with_parts = _parts("members"), _parts("others")
     part, with_part = (F.pmod(F.xxhash64("set"), n).cast("int") for n in (parts, with_parts))
     met = rows.select("region", ring.alias("ring"), part.alias("part"), F.explode(F.sequence(F.lit(0), with_parts - 1)).alias("with_part"),
                       "set", "label", F.lit(False).alias("asks"))
@@ -299,10 +309,10 @@ def links(docs: DataFrame, described: DataFrame, steps: np.ndarray) -> DataFrame
     d = known.select("a", "b", (1 - F.col("inter") / F.col("whole")).alias("d"))
     labels = components(known.where(linked()))
     rows = written(_open(starred.join(d, ["a", "b"]).select("region", "set", "d"), labels))
-    # small groups share a task's call; a bucket has some thousand rows
-    buckets = max(1, rows.count() // BUCKET_ROWS)
+    # small groups share a task's call; a bucket has some thousand rows, counted as replicated, and a task about one bucket
+    buckets = max(1, -(-_ring_rows(rows) // BUCKET_ROWS))
     met = _rings(rows).withColumn("bucket", F.pmod(F.xxhash64(*_GROUP), F.lit(buckets)))
-    found = met.join(texts, "set").groupBy("bucket").applyInPandas(_join_groups, "a long, b long")
+    found = met.join(texts, "set").repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_join_groups, "a long, b long")
     return written(known.where(linked()).select("a", "b").unionAll(found))
 
 

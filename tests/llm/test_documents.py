@@ -98,6 +98,24 @@ def test_chain_of_unlike_sets_that_share_a_hot_passage(spark, monkeypatch):
     assert got == want
 
 
+def test_frames_stay_small_where_regions_are_large(spark, monkeypatch, tmp_path):
+    """Members of large regions are replicated to many groups; no call gets many more rows than a bucket should have."""
+    rows = [(i, " ".join([f"h{k}" for k in range(36)] + [f"x{i}_{k}" for k in range(8)]), "s") for i in range(150)]
+    join, folder = jaccard_regions._join_groups, str(tmp_path)
+
+    def spied(frame):
+        with open(f"{folder}/{frame['bucket'].iloc[0]}", "w") as f:
+            f.write(str(len(frame)))
+        return join(frame)
+    monkeypatch.setattr(jaccard_regions, "BLOCK", 5)
+    monkeypatch.setattr(jaccard_regions, "BUCKET_ROWS", 300)
+    monkeypatch.setattr(jaccard_regions, "_join_groups", spied)
+    got = {r[0]: r[2] for r in jaccard_regions.near_duplicates(docs_of(spark, rows)).collect()}
+    sizes = [int(p.read_text()) for p in tmp_path.iterdir()]
+    assert sum(sizes) > 5000 and max(sizes) < 2 * 300
+    assert got == {i: i for i in range(150)}
+
+
 def test_repeats(spark, corpus):
     first = {}
     for i, t, _ in corpus:
