@@ -89,7 +89,7 @@ def _fits(kind: str, found: str) -> bool:
 def candidates(text: str) -> list[tuple[str, int, int, bool]]:
     """All proposed spans ``(kind, start, end, base)``; base ones first, the others never overlap them."""
     spans = [("email", s, e) for s, e in _emails(text)] if "@" in text else []
-    loose = [("email", m.start(), m.end()) for m in _SPELT.finditer(text)] if "dot" in text or "at]" in text or "at)" in text else []
+    loose = [("email", m.start(), m.end()) for m in _SPELT.finditer(text)] if any(x in text for x in ("dot", "at]", "at)", "at}")) else []
     if _DIGIT.search(text):
         spans += [(k, m.start(), m.end()) for k, p in (("ip", _IP), ("card", _CARD), ("phone", _PHONE)) for m in p.finditer(text)]
         loose += [("phone", m.start(), m.end()) for m in _LOCAL_PHONE.finditer(text)]

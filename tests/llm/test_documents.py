@@ -191,6 +191,12 @@ def test_added_spans(spark):
     assert got[121] == ("email:6:29", 1) and got[122] == got[123] == ("", 0)
 
 
+def test_spelt_addresses_are_proposed_whatever_stands_elsewhere():
+    for a, z in ("[]", "()", "{}"):
+        assert pii.candidates(f"write john {a}at{z} example.com")[0] == ("email", 6, 27, False)
+    assert pii.candidates("write john at example dot com")[0][0] == "email"
+
+
 def test_reliabilities_tell_good_labelers():
     rng = np.random.default_rng(1)
     truth = rng.random(4000) < 0.5
