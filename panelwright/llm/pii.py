@@ -79,7 +79,7 @@ def _emails(text: str) -> list[tuple[int, int]]:
 
 def _fits(kind: str, found: str) -> bool:
     if kind == "ip":
-        return all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in found.split("."))
+        return all(len(p) <= 3 and int(p or "0") <= 255 for p in (x.lstrip("0") for x in found.split(".")))
     digits = re.sub(r"[^0-9]", "", found)
     if kind == "card":
         return 16 <= len(digits) <= 19 and luhn(digits)

@@ -197,6 +197,13 @@ def test_spelt_addresses_are_proposed_whatever_stands_elsewhere():
     assert pii.candidates("write john at example dot com")[0][0] == "email"
 
 
+def test_addresses_with_very_many_zeros():
+    zeros = "0" * 5000
+    assert ("ip", 0, 5007, True) in pii.candidates(f"{zeros}1.2.3.4")
+    assert ("ip", 0, 5006, True) in pii.candidates(f"{zeros}.2.3.4")
+    assert not any(x[3] for x in pii.candidates(f"{zeros}256.2.3.4"))
+
+
 def test_reliabilities_tell_good_labelers():
     rng = np.random.default_rng(1)
     truth = rng.random(4000) < 0.5
