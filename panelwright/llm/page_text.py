@@ -24,8 +24,6 @@ from panelwright.scale import written
 # Bound of the sample: pages in hash order.
 SAMPLE_PAGES = 600
 TREES, DEPTH = 12, 4
-# Characters after which a tag without an end is taken to end at its first ">".
-LONG_TAG = 1 << 16
 
 # Element names and attribute tokens by their part in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -49,11 +47,33 @@ comment comments disqus respond reply replies cookie cookies consent notice noti
 subscription newsletter signup login search form pagination pager tags complementary contentinfo""".split())
 MAIN = frozenset("article content main post entry story body text prose maincontent articlebody".split())
 
-_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
-_ATTRIBUTE = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+# quoted values of other attributes are passed over
+_ATTRIBUTE = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))|\"[^\"]*+\"|'[^']*+'", re.I)
+_NAME_END, _MARK = re.compile(r"[\s/>]"), re.compile(r"[\"'>]")
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 
+class _Ends:
+    """Whether a tag has an end outside quotes, for all tags of a page from one walk over its quotes and ``>`` from the back."""
+
+    def __init__(self, s: str):
+        self.s, self.at = s, [m.start() for m in _MARK.finditer(s)]
+        self.ends = bytearray(len(self.at) + 1)
+        quote: dict[str, int] = {}
+        for k in range(len(self.at) - 1, -1, -1):
+            c = s[self.at[k]]
+            if c == ">":
+                self.ends[k] = 1
+            else:
+                self.ends[k] = c in quote and self.ends[quote[c] + 1]
+                quote[c] = k
+
+    def after(self, lt: int) -> bool:
+        name = _NAME_END.search(self.s, lt + 2)
+        return bool(name and self.ends[bisect_left(self.at, name.start())])
+
+
 class Page:
     """The tree of a page. Runs of inline text are kept as ``[node, text]`` in page order."""
 
@@ -149,7 +169,7 @@ class Page:
                 return
 
     def _read(self, s: str) -> None:
-        at, n = 0, len(s)
+        at, n, ends = 0, len(s), None
         while at < n:
             lt = s.find("<", at)
             if lt < 0:
@@ -166,10 +186,12 @@ class Page:
                 self._text("<")
                 at = lt + 1
             else:
-                m = _TAG.match(s, lt, min(n, lt + LONG_TAG))
+                # after the first tag without an end, only those that have one are tried: linear time
+                m = _TAG.match(s, lt) if ends is None or ends.after(lt) else None
                 if m:
                     at, closes, tag, rest = m.end(), m[1], m[2].lower(), m[3]
                 else:
+                    ends = ends or _Ends(s)
                     end = s.find(">", lt)
                     at = n if end < 0 else end + 1
                     closes, tag, rest = s[lt + 1] == "/", re.split(r"[\s/>]", s[lt + 1:lt + 40].strip("/"), maxsplit=1)[0].lower(), ""

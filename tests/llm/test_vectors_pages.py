@@ -113,6 +113,24 @@ def test_end_tags_close_their_own_start(source, want):
     assert kept_by_signs(source) == want
 
 
+def test_long_tags_keep_their_attributes():
+    svg = "<svg class='nav'>" * 5000
+    for long in (f'style="background: url(data:{svg})" class="sidebar"', f"data-x='{svg.replace(chr(39), chr(34))}' id=sidebar", f'class=sidebar data-y="{svg}"'):
+        assert kept_by_signs(f"<p>Text</p><div {long}>away</div><p>and the rest</p>") == "Text and the rest"
+    assert kept_by_signs(f'<p>Text</p><div data-y="{svg}">stays</div>') == "Text stays"
+    assert kept_by_signs(f'<p title="x>Text</p>{svg}<div class=ad title="it">away</div><p>it\'s <b x=\'y>\'>bold</b>').startswith("Text")
+
+
+def test_ends_of_tags_are_known():
+    rng = np.random.default_rng(9)
+    for _ in range(3000):
+        s = "".join(rng.choice(list("<<ab >>\"'/="), 30))
+        ends = page_text._Ends(s)
+        for lt in range(len(s) - 1):
+            if s[lt] == "<" and s[lt + 1] in "ab":
+                assert ends.after(lt) == bool(page_text._TAG.match(s, lt))
+
+
 def test_hard_markup_takes_linear_time():
     for text in ("<" * 200_000, "<a b=\"" * 30_000, "<!--" * 50_000, "<script>" * 30_000, "<div>" * 20_000):
         page = page_text.Page(text)
