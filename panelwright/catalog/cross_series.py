@@ -43,6 +43,17 @@ def category_volatility(spark, sf):
     return _rounded(cross.category_dynamics(cross.category_total(gappy(spark, sf), SPEC), SPEC), "category_volatility")
 
 
+@register("category_dynamics_positional", f"""
+WITH {_CATEGORY}, f AS (SELECT *, last_value(rest IGNORE NULLS) OVER (PARTITION BY category ORDER BY sku, date ROWS UNBOUNDED PRECEDING) AS f FROM own),
+g AS (SELECT *, lag(f, 7) OVER (PARTITION BY category ORDER BY sku, date) AS l FROM f)
+SELECT sku, date, {R('''CASE WHEN f IS NULL OR l IS NULL THEN 0.0 WHEN l = 0 THEN CASE WHEN f = 0 THEN 0.0 ELSE 10.0 END
+  ELSE least(10.0, greatest(-10.0, f / l - 1)) END''')} AS category_growth_rate,
+  {R('''least(1e6, coalesce(stddev_samp(rest) OVER (PARTITION BY category ORDER BY sku, date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 0.0))''')} AS category_volatility FROM g""")
+def category_dynamics_positional(spark, sf):
+    """Growth and spread along all rows of a category, as older runs computed them."""
+    return _rounded(cross.category_dynamics(cross.category_total(gappy(spark, sf), SPEC), SPEC, compat=True), "category_growth_rate", "category_volatility")
+
+
 @register("brand_market_share", f"""
 SELECT sku, date, {R(f'''coalesce(least(1.0, greatest(0.0, coalesce(sum(sales) OVER (PARTITION BY brand, category, date), 0)
   / greatest(coalesce({_TOTAL}, 0), 1e-6))), 0.0)''')} AS brand_market_share FROM gappy""")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -189,6 +190,45 @@ def leaderboard(spark, sf):
     return forecast.leaderboard(_tested(spark, sf)).select("model", r("score_val"))
 
 
+def _board(metric: str, error: str) -> None:
+    @register(f"leaderboard_{metric}", f"{_BT} SELECT model, {R(f'-({error})')} AS score_val FROM long_ GROUP BY model")
+    def board(spark, sf):
+        return forecast.leaderboard(_tested(spark, sf), opts=replace(OPTS, eval_metric=metric)).select("model", r("score_val"))
+
+
+_board("rmse", "sqrt(avg(pow(mean - actual, 2)))")
+_board("wape", "sum(abs(mean - actual)) / sum(abs(actual)) FILTER (WHERE mean IS NOT NULL)")
+_board("cost", "avg(greatest(1.5 * (mean - actual), 1.0 * (actual - mean)))")
+
+
+_ROUNDS = 6
+
+
+def _selection() -> str:
+    """The rounds of the greedy selection: ``m`` the chosen model's place, ``e`` the error, ``c`` how often each was chosen."""
+    models = forecast.MODELS
+    steps = [f"use_ AS (SELECT *, [{', '.join(models)}] AS f FROM tested WHERE actual IS NOT NULL AND {' AND '.join(f'{m} IS NOT NULL' for m in models)})",
+             f"pick_0 AS (SELECT 0 AS m, NULL::DOUBLE AS e, [{', '.join('0' for _ in models)}] AS c)"]
+    for k in range(1, _ROUNDS + 1):
+        steps.append(f"""try_{k} AS (SELECT g.m, avg(abs((list_sum(list_transform(list_zip(f, c), lambda z: z[1] * z[2])) + f[g.m]) / {k} - actual)) AS e
+                         FROM use_, (SELECT c FROM pick_{k - 1}), range(1, {len(models) + 1}) g(m) GROUP BY g.m)""")
+        steps.append(f"""pick_{k} AS (SELECT t.m, t.e, list_transform(c, lambda n, i: n + CAST(i = t.m AS INTEGER)) AS c
+                         FROM try_{k} t, (SELECT c FROM pick_{k - 1}) ORDER BY t.e, t.m LIMIT 1)""")
+    return ", ".join(steps)
+
+
+_NAMED = "[" + ", ".join(f"'{m}'" for m in forecast.MODELS) + "]"
+
+
+@register("ensemble_selection", f"{_BT}, {_selection()} " + " UNION ALL ".join(
+    f"SELECT CAST({k} AS INTEGER) AS round, {_NAMED}[m] AS model, {R('e')} AS error FROM pick_{k}" for k in range(1, _ROUNDS + 1)))
+def ensemble_selection(spark, sf):
+    """The model that each round of the greedy ensemble adds, and the error with it."""
+    chosen = forecast.select_ensemble(scale.written(_tested(spark, sf)), rounds=_ROUNDS)
+    rows = [(k + 1, m, e) for k, (m, e) in enumerate(chosen)]
+    return spark.createDataFrame(rows, "round int, model string, error double").select("round", "model", r("error"))
+
+
 @register("ensemble_weights", f"{_BT} SELECT model, {R('weight')} AS weight FROM weights")
 def ensemble_weights(spark, sf):
     return forecast.ensemble_weights(forecast.leaderboard(_tested(spark, sf))).select("model", r("weight"))
@@ -234,21 +274,6 @@ def asymmetric_cost(spark, sf):
     return forecast.cost_board(tested, opts=OPTS).join(best, "model").select("model", r("mean_cost"), r("best_offset"))
 
 
-# every series gets each step of the horizon, with a finite forecast
-_COMPLETE = """SELECT sku, CAST(max(date) + CAST(s AS INTEGER) AS DATE) AS date, CAST(s AS INTEGER) AS step, TRUE AS finite
-FROM panel, generate_series(1, 14) g(s) GROUP BY sku, s"""
-
-
-def _complete(predicted):
-    return predicted.select("sku", "date", "step", (F.col("mean").isNotNull() & ~F.isnan("mean")).alias("finite"))
-
-
-@register("global_linear_regression", _COMPLETE)
-def global_linear_regression(spark, sf):
-    df = scale.written(panel(spark, sf))
-    return _complete(regression.predict_global(regression.fit_global(df, SPEC, 14, "linear"), df, SPEC))
-
-
 @register("regression_inputs", f"""
 WITH seq_ AS (SELECT sku, date, sales, promo_flag, promo_discount, row_number() OVER (PARTITION BY sku ORDER BY date) AS rn, count(*) OVER (PARTITION BY sku) AS n FROM panel),
 fut AS (SELECT DISTINCT sku, n, max(date) OVER (PARTITION BY sku) AS last FROM seq_),
@@ -262,17 +287,3 @@ FROM ahead a JOIN seq_ s ON s.sku = a.sku GROUP BY a.sku, a.n, a.date, a.step"""
 def regression_inputs(spark, sf):
     rows, _ = regression.lagged_inputs(regression.future_rows(panel(spark, sf), SPEC, 14), SPEC, 14)
     return rows.where("step IS NOT NULL").select("sku", "date", "step", "back_14", "back_21", "back_28", r("mean_7"), r("mean_28"))
-
-
-@register("feature_importance")
-def feature_importance(spark, sf):
-    df = scale.written(panel(spark, sf))
-    return regression.feature_importance(regression.fit_global(df, SPEC, 14, "trees"))
-
-
-@register("saved_model_forecast", _COMPLETE)
-def saved_model_forecast(spark, sf):
-    df = scale.written(panel(spark, sf))
-    path = f"{scale.checkpoint_folder(spark)}/model-{uuid.uuid4().hex}"
-    regression.save_model(regression.fit_global(df, SPEC, 14, "linear"), path)
-    return _complete(regression.predict_global(regression.load_model(path), df, SPEC))

@@ -12,9 +12,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwright import scale
-from panelwright.functions.numeric import CUR, clip, in_order, with_growth
+from panelwright.functions.numeric import CUR, UNB, clip, in_order, ratio_change, with_growth
 from panelwright.spec import PanelSpec
 
+# Rows that growth and spread of a category look back, and rows of a chunk where they run over all series of the category.
+LOOK_BACK = 7
+CHUNK_ROWS = 65_536
+
 
 def _group_day(df: DataFrame, spec: PanelSpec, keys: list[str], **aggs) -> DataFrame:
     return df.groupBy(*keys, spec.ts).agg(*[a.alias(n) for n, a in aggs.items()])
@@ -40,18 +44,52 @@ def category_total(df: DataFrame, spec: PanelSpec, source: DataFrame | None = No
         *keep, "category_total_sales")
 
 
-def category_dynamics(df: DataFrame, spec: PanelSpec) -> DataFrame:
+def category_dynamics(df: DataFrame, spec: PanelSpec, compat: bool = False) -> DataFrame:
     """``category_growth_rate`` (7 rows, +-10) and ``category_volatility`` (7-row std) of the
-    category total, along each series."""
-    keep, w = df.columns, in_order(spec)
-    df = with_growth(df, "category_total_sales", {"_growth": 7}, w)
-    df = df.withColumn("_spread", F.stddev_samp("category_total_sales").over(w.rowsBetween(-6, CUR)))
+    category total, along each series.
+
+    With ``compat``, along the rows of the whole category in order of series and day, so that the first rows of a series
+    look back on the series before it.
+    """
+    keep = df.columns
+    if compat:
+        df, w = _category_rows(df, spec)
+    else:
+        w = in_order(spec)
+        df = df.withColumn("_padded", F.last("category_total_sales", ignorenulls=True).over(w.rowsBetween(UNB, CUR)))
+    df = df.withColumns({"_growth": ratio_change(F.col("_padded"), F.lag("_padded", LOOK_BACK).over(w)),
+                         "_spread": F.stddev_samp("category_total_sales").over(w.rowsBetween(-LOOK_BACK + 1, CUR))})
+    if compat:      # the context rows have served
+        df = df.where("_own")
     return df.withColumns({
         "category_growth_rate": clip(F.coalesce("_growth", F.lit(0.0)), -10.0, 10.0),
         "category_volatility": clip(F.coalesce("_spread", F.lit(0.0)), 0.0, 1e6),
     }).select(*keep, "category_growth_rate", "category_volatility")
 
 
+def _category_rows(df: DataFrame, spec: PanelSpec):
+    """Rows numbered along (category, series, day) and cut into equal chunks, each with the last ``LOOK_BACK`` rows of the chunk before it
+    (``_own`` is false there), the padded totals, and the window to use. No task holds a category.
+
+    A missing total takes the last known one of the category (rows without a category have none); where a chunk begins with missing ones, this comes from
+    a table with the last known total of each category and chunk.
+    """
+    placed = scale.numbered(df, ["category", spec.id, spec.ts], "_place").withColumn("_chunk", F.floor(F.col("_place") / CHUNK_ROWS))
+    known = F.col("category_total_sales").isNotNull()
+    # all chunks of a category, with what it knew last before each of them
+    last = placed.groupBy("category", "_chunk").agg(F.max_by(F.when(known, F.col("category_total_sales")), F.when(known, F.col("_place"))).alias("_last"))
+    by_chunk = Window.partitionBy("category").orderBy("_chunk")
+    carried = last.select("category", "_chunk", F.last("_last", ignorenulls=True).over(by_chunk.rowsBetween(UNB, -1)).alias("_carried"))
+    inside = Window.partitionBy("_chunk", "category").orderBy("_place")
+    placed = scale.attach(placed, scale.written(carried), ["category", "_chunk"])
+    placed = placed.withColumn("_padded", F.coalesce(F.last("category_total_sales", ignorenulls=True).over(inside.rowsBetween(UNB, CUR)), "_carried"))
+    edge = F.col("_place") % CHUNK_ROWS >= CHUNK_ROWS - LOOK_BACK
+    lent = F.when(edge, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    spread = (placed.withColumn("_by", F.explode(lent)).withColumn("_chunk", F.col("_chunk") + F.col("_by")).withColumn("_own", F.col("_by") == 0)
+              .drop("_by", "_carried"))
+    return spread, inside
+
+
 def brand_share(df: DataFrame, spec: PanelSpec, source: DataFrame | None = None, small: bool = False) -> DataFrame:
     """``brand_market_share``: the brand's part of its category's sales that day."""
     keep, source = df.columns, df if source is None else source

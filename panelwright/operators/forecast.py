@@ -88,15 +88,20 @@ def backtest(train: DataFrame, spec: PanelSpec, opts: ForecastOptions = Forecast
                         *[c.alias(m) for m, c in _predictions().items()])
 
 
+def _scored(predicted: Column, actual: Column, opts: ForecastOptions) -> Column:
+    """The validation error of a column of forecasts by ``opts.eval_metric``, as an aggregate."""
+    error = predicted - actual
+    errors = {"mae": F.avg(F.abs(error)), "rmse": F.sqrt(F.avg(error * error)),
+              "wape": F.try_divide(F.sum(F.abs(error)), F.sum(F.when(error.isNotNull(), F.abs(actual)))),
+              "cost": F.avg(asymmetric_cost(predicted, actual, opts))}
+    if opts.eval_metric not in errors:
+        raise ValueError(f"unknown eval_metric {opts.eval_metric!r}: one of {', '.join(errors)}")
+    return errors[opts.eval_metric]
+
+
 def leaderboard(tested: DataFrame, models: tuple[str, ...] = MODELS, opts: ForecastOptions = ForecastOptions()) -> DataFrame:
-    """``model, score_val``: the negative validation error by ``opts.eval_metric``, the mean absolute error
-    for a metric that isn't known here."""
-    error = F.col("mean") - F.col("actual")
-    scores = {"rmse": F.sqrt(F.avg(error * error)),
-              "wape": F.try_divide(F.sum(F.abs(error)), F.sum(F.when(error.isNotNull(), F.abs("actual")))),
-              "cost": F.avg(asymmetric_cost(F.col("mean"), F.col("actual"), opts))}
-    score = scores.get(opts.eval_metric, F.avg(F.abs(error)))
-    return to_long(tested, models).groupBy("model").agg((-score).alias("score_val"))
+    """``model, score_val``: the negative validation error by ``opts.eval_metric``."""
+    return to_long(tested, models).groupBy("model").agg((-_scored(F.col("mean"), F.col("actual"), opts)).alias("score_val"))
 
 
 def ensemble_weights(scores: DataFrame) -> DataFrame:
@@ -106,6 +111,40 @@ def ensemble_weights(scores: DataFrame) -> DataFrame:
     return scores.select("model", (raw / total.scalar()).alias("weight"))
 
 
+def select_ensemble(tested: DataFrame, models: tuple[str, ...] = MODELS, opts: ForecastOptions = ForecastOptions(),
+                    rounds: int = 20) -> list[tuple[str, float]]:
+    """Greedy forward selection with replacement over stored validation rows: the model chosen in each round and the
+    error of the mean of all chosen so far.
+
+    A round tries every model beside those chosen, all in one aggregate, and the driver gets one number for each. Equal errors go to
+    the model listed first. Rows where a model has no forecast or no actual value take no part, so that all mixtures are compared on the same rows;
+    without such rows nothing is chosen.
+    """
+    whole = [F.col(m).isNotNull() for m in models]
+    rows = tested.where(F.col("actual").isNotNull())
+    for w in whole:
+        rows = rows.where(w)
+    chosen: list[tuple[str, float]] = []
+    for k in range(1, rounds + 1):
+        held = sum((F.lit(float(n)) * F.col(m) for m in models if (n := [c for c, _ in chosen].count(m))), F.lit(0.0))
+        errors = rows.agg(*[_scored((held + F.col(m)) / k, F.col("actual"), opts).alias(m) for m in models]).first()
+        known = [(errors[m], i, m) for i, m in enumerate(models) if errors[m] is not None]
+        if not known:
+            break
+        error, _, best = min(known)
+        chosen.append((best, float(error)))
+    return chosen
+
+
+def selected_weights(chosen: list[tuple[str, float]], models: tuple[str, ...] = MODELS) -> dict[str, float]:
+    """Weights of the selection up to its best round, the earliest of equal ones, so never worse than its first, the best single model."""
+    if not chosen:
+        return {m: 1.0 / len(models) for m in models}
+    upto = min(range(len(chosen)), key=lambda k: chosen[k][1]) + 1
+    names = [m for m, _ in chosen[:upto]]
+    return {m: names.count(m) / upto for m in models}
+
+
 def combine(wide: DataFrame, weights: DataFrame, models: tuple[str, ...] = MODELS, name: str = "ensemble") -> DataFrame:
     """Add the weighted mean of the model columns. The weights travel as one small map."""
     table = weights.agg(F.map_from_entries(F.collect_list(F.struct("model", "weight"))).alias("w"))

@@ -59,16 +59,22 @@ def _train(cleaned: DataFrame, rules: cleanup.CleanupRules, settings: Settings)
     history = scale.written(history)
     tested, models, fitted = forecast.backtest(history.select(spec.id, spec.ts, spec.target), spec, opts), forecast.MODELS, None
     if opts.global_model:
-        fitted, models = regression.fit_global(history, spec, opts.horizon), (*models, regression.NAME)
-        tested = tested.join(regression.backtest_global(history, spec, opts), [spec.id, "window_no", spec.ts], "left")
+        fitted, ahead = regression.fit_and_backtest(history, spec, opts)
+        models = (*models, regression.NAME)
+        tested = tested.join(ahead, [spec.id, "window_no", spec.ts], "left")
     tested = scale.written(tested)
     scores = scale.written(forecast.leaderboard(tested, models, opts))
     if not opts.ensemble:      # all weight on the best model
         best = scores.orderBy(F.desc("score_val"), "model").limit(1).select("model")
         names = scores.select("model")
         weights = names.join(best.withColumn("weight", F.lit(1.0)), "model", "left").fillna(0.0)
-    else:
+    elif opts.ensemble_method == "selection":
+        chosen = forecast.selected_weights(forecast.select_ensemble(tested, models, opts, opts.ensemble_rounds), models)
+        weights = tested.sparkSession.createDataFrame(sorted(chosen.items()), "model string, weight double")
+    elif opts.ensemble_method == "inverse_error":
         weights = forecast.ensemble_weights(scores)
+    else:
+        raise ValueError(f"unknown ensemble_method {opts.ensemble_method!r}: selection or inverse_error")
     weights = scale.written(weights)
     blended = forecast.combine(tested, weights, models)
     levels = opts.quantiles + ((forecast.optimal_level(opts),) if opts.use_cost else ())

@@ -99,6 +99,22 @@ def attach_series(df: DataFrame, stats: DataFrame, key: str, limit: int | None =
     return df.join(F.broadcast(stats) if small else stats, key, "left")
 
 
+def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """Add ``name``, the place of each row along ``order`` from 0, without a task that holds all rows; written.
+
+    Rows are range-sorted and counted by range. Ranges grow as the square root of the table, which keeps both their rows and the list
+    of their starts moderate. Rows that agree in ``order`` are numbered in no particular order.
+    """
+    held = written(df.withColumn("_uid", F.monotonically_increasing_id()))
+    ranges = max(1, int(held.count() ** 0.5) // 32)
+    ranged = written(held.repartitionByRange(ranges, *order, "_uid").sortWithinPartitions(*order, "_uid")
+                     .withColumn("_at", F.monotonically_increasing_id()).withColumn("_range", F.shiftright("_at", 33)).drop("_uid"))
+    starts = ranged.groupBy("_range").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_many"))
+    before = F.sum("_many").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    starts = written(starts.select("_range", (F.coalesce(before, F.lit(0)) - F.col("_first")).alias("_shift")))
+    return written(ranged.join(F.broadcast(starts), "_range").withColumn(name, F.col("_at") + F.col("_shift")).drop("_range", "_at", "_shift"))
+
+
 def biggest_group(df: DataFrame, keys: list[str]) -> int:
     """Rows of the largest group (a map-side combined count, one number to the driver)."""
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")) if keys else df.agg(F.count(F.lit(1)).alias("n"))

@@ -78,6 +78,8 @@ class ForecastOptions:
     over_penalty: float = 1.5
     under_penalty: float = 1.0
     ensemble: bool = True
+    ensemble_method: str = "selection"    # selection (greedy, with replacement) or inverse_error
+    ensemble_rounds: int = 20
     eval_metric: str = "mae"              # what models are ranked by: mae, rmse, wape or cost
     use_cost: bool = False                # publish the level that costs least instead of the mean
     global_model: bool = True             # fit the regression over all series, too
@@ -140,6 +142,8 @@ class Settings:
             over_penalty=penalty.get("over_penalty_factor", d_fc.over_penalty),
             under_penalty=penalty.get("under_penalty_factor", d_fc.under_penalty),
             ensemble=model.get("enable_ensemble", True),
+            ensemble_method=model.get("ensemble_method", d_fc.ensemble_method),
+            ensemble_rounds=model.get("ensemble_rounds", d_fc.ensemble_rounds),
             eval_metric="cost" if penalty.get("enabled", bool(penalty)) else str(model.get("eval_metric", d_fc.eval_metric)).lower(),
             use_cost=penalty.get("enabled", bool(penalty)),
             global_model=model.get("global_model", d_fc.global_model),
