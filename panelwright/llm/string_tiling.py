@@ -15,12 +15,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.llm.passes import add_columns
-from panelwright.llm.text import grams, pieces, words
+from panelwright.llm.text import _tables, grams, pieces, words
 
 MIN_TILE = 5
 COVERAGE = 0.5
 # Bytes of benchmark text that one pass over the documents holds; a larger benchmark takes more passes.
 CHUNK_BYTES = 32 << 20
+# Entries of seeds that are listed for one text; one with more, as repeated words make them, is tiled length by length. The result is the same.
+LISTED = 1 << 18
 
 
 class Seeds:
@@ -45,16 +47,27 @@ class Seeds:
             maybe[key & np.uint64((1 << 20) - 1)] = True
             self.by_length[n] = key[order], item[order], pos[order], maybe
 
-    def hits(self, hashes: np.ndarray):
-        """Places of shared seeds in a run of words: ``(length, place in the run, item, place in the item)`` arrays."""
-        for n, (key, item, pos, maybe) in self.by_length.items():
+    def shared(self, hashes: np.ndarray):
+        """Places in a run of words that begin a seed: ``(length, places, first entry of the seed, number of its entries)``."""
+        for n, (key, _, _, maybe) in self.by_length.items():
             g = grams(hashes, n)
             at = np.flatnonzero(maybe[g & np.uint64((1 << 20) - 1)])
             low, high = np.searchsorted(key, g[at]), np.searchsorted(key, g[at], side="right")
-            at, low, many = at[high > low], low[high > low], (high - low)[high > low]
-            if len(at):
-                index = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
-                yield n, np.repeat(at, many), item[index], pos[index]
+            hit = high > low
+            if hit.any():
+                yield n, at[hit], low[hit], (high - low)[hit]
+
+    def entries(self, n: int, at: np.ndarray, low: np.ndarray, many: np.ndarray):
+        """``(place in the run, item, place in the item)`` for each entry of the seeds at ``at``."""
+        _, item, pos, _ = self.by_length[n]
+        index = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
+        return np.repeat(at, many), item[index], pos[index]
+
+    def items_of(self, n: int, low: np.ndarray, many: np.ndarray) -> np.ndarray:
+        """The items that have any of the seeds, each seed looked at once."""
+        first, which = np.unique(low, return_index=True)
+        item = self.by_length[n][1]
+        return np.unique(np.concatenate([np.unique(item[f:f + m]) for f, m in zip(first.tolist(), many[which].tolist(), strict=True)]))
 
 
 def tiles(in_doc: np.ndarray, in_item: np.ndarray, tile: int) -> list[tuple[int, int, int]]:
@@ -89,37 +102,120 @@ def tiles(in_doc: np.ndarray, in_item: np.ndarray, tile: int) -> list[tuple[int,
     return out
 
 
+class _Runs:
+    """Hashes of all runs of any length in a text, from one running sum."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.n = len(hashes)
+        up, self.down = _tables(self.n + 1)
+        self.sums = np.zeros(self.n + 1, np.uint64)
+        np.cumsum(hashes * up[:self.n], out=self.sums[1:])
+        self.free = np.ones(self.n, bool)
+
+    def unmarked(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the runs of ``n`` unmarked words, and their hashes."""
+        if n > self.n:
+            return np.empty(0, np.int64), np.empty(0, np.uint64)
+        held = np.concatenate([[0], np.cumsum(self.free)])
+        at = np.flatnonzero(held[n:] - held[:-n] == n)
+        return at, (self.sums[at + n] - self.sums[at]) * self.down[at]
+
+
+def tiles_by_length(doc: np.ndarray, item: np.ndarray, tile: int) -> list[tuple[int, int, int]]:
+    """What ``tiles`` gives, for texts that share so many seeds that their matches can't be listed.
+
+    The longest length at which unmarked runs agree is found by bisection over hashes of all runs of a length, then all tiles of it are
+    laid in order. Lengths that lay a tile use up the item's words, so there are at most about the square root of twice its words of them.
+    """
+    d, i, out, longest = _Runs(doc), _Runs(item), [], min(len(doc), len(item))
+
+    def agree(n: int) -> bool:
+        return bool(np.isin(i.unmarked(n)[1], d.unmarked(n)[1]).any())
+    while longest >= tile and agree(tile):
+        low, high = tile, longest
+        while low < high:
+            middle = (low + high + 1) // 2
+            low, high = (middle, high) if agree(middle) else (low, middle - 1)
+        n = low
+        at, hashes = i.unmarked(n)
+        places, keys = d.unmarked(n)
+        order = np.lexsort((places, keys))
+        places, keys = places[order], keys[order]
+        first, last = np.searchsorted(keys, hashes), np.searchsorted(keys, hashes, side="right")
+        next_of: dict[int, int] = {}
+        end = 0
+        for k in np.flatnonzero(last > first).tolist():
+            a = int(at[k])
+            if a < end:
+                continue
+            f = int(first[k])
+            p = next_of.get(f, f)
+            # tiles laid meanwhile have the same length, so one that meets a run covers one of its ends
+            while p < last[k] and not (d.free[places[p]] and d.free[places[p] + n - 1]):
+                p += 1
+            next_of[f] = p
+            if p < last[k]:
+                b = int(places[p])
+                out.append((a, b, n))
+                i.free[a:a + n] = d.free[b:b + n] = False
+                end = a + n
+        longest = n - 1
+    return out
+
+
+def _covering(pos: np.ndarray, n: int) -> int:
+    """Words under runs of ``n`` words that begin at ``pos``."""
+    return len(np.unique((np.unique(pos)[:, None] + np.arange(n)).ravel()))
+
+
 def _tiler(seeds: Seeds, least: float):
     """For each text the item it covers most (coverage, id, words covered, tiles as flat triples), and ids, coverages and
     tiles of all items that it covers by ``least`` or more."""
     def compute(texts: list[bytes]) -> list[list]:
         best = [(0.0, None, 0, [])] * len(texts)
+        which = [len(seeds.ids)] * len(texts)
         listed: list[list] = [[] for _ in texts]
+
+        def settle(k: int, item: int, covering: int, lay) -> None:
+            """Tile one text with one item, unless its seeds alone cover too little to be listed or to beat what is known."""
+            size = len(seeds.items[item])
+            if covering / size < least and (covering / size, -item) <= (best[k][0], -which[k]):
+                return
+            laid = lay()
+            covered = sum(t[2] for t in laid)
+            flat = [x for t in laid for x in t]
+            if covered / size >= least:
+                listed[k].append((seeds.ids[item], covered / size, flat))
+            if (covered / size, -item) > (best[k][0], -which[k]):
+                best[k], which[k] = (covered / size, seeds.ids[item], covered, flat), item
+
         for first, some in pieces(texts):
             hashes, begins = words(some, lower=True)
-            found: dict[tuple[int, int], list] = {}
-            for n, place, item, pos in seeds.hits(hashes):
-                doc = np.searchsorted(begins, place, side="right") - 1
-                inside = place + n <= begins[doc + 1]
-                doc, place, item, pos = doc[inside], place[inside] - begins[doc[inside]], item[inside], pos[inside]
-                order = np.lexsort((item, doc))
-                doc, place, item, pos = doc[order], place[order], item[order], pos[order]
-                cut = np.flatnonzero(np.concatenate([[True], (np.diff(doc) != 0) | (np.diff(item) != 0)])) if len(doc) else []
-                for s, e in zip(cut, [*cut[1:], len(doc)], strict=True):
-                    found[int(doc[s]), int(item[s])] = [n, place[s:e], pos[s:e]]
-            for (doc, item), (n, place, pos) in sorted(found.items()):
-                size = len(seeds.items[item])
-                # seeds alone may cover too little to be listed or to beat what is known
-                most = len(np.unique((pos[:, None] + np.arange(n)).ravel())) / size
-                if most < least and most <= best[first + doc][0]:
-                    continue
-                laid = tiles(place, pos, n)
-                covered = sum(t[2] for t in laid)
-                flat = [x for t in laid for x in t]
-                if covered / size >= least:
-                    listed[first + doc].append((seeds.ids[item], covered / size, flat))
-                if covered / size > best[first + doc][0]:
-                    best[first + doc] = (covered / size, seeds.ids[item], covered, flat)
+            for n, at, low, many in seeds.shared(hashes):
+                of = np.searchsorted(begins, at, side="right") - 1
+                inside = at + n <= begins[of + 1]
+                of, at, low, many = of[inside], at[inside], low[inside], many[inside]
+                weight = np.bincount(of, many, len(some))
+                for doc in np.flatnonzero(weight > LISTED).tolist():
+                    # the seeds of this text have too many entries to list them all
+                    text = hashes[begins[doc]:begins[doc + 1]]
+                    own = np.unique(grams(text, n))
+                    for item in seeds.items_of(n, low[of == doc], many[of == doc]).tolist():
+                        pos = np.flatnonzero(np.isin(grams(seeds.items[item], n), own))
+                        settle(first + doc, item, _covering(pos, n), lambda: tiles_by_length(text, seeds.items[item], n))
+                weight[weight > LISTED] = 0
+                batch = (np.cumsum(weight) // LISTED).astype(np.int64)[of]
+                light = weight[of] > 0
+                for k in np.unique(batch[light]):
+                    use = light & (batch == k)
+                    place, item, pos = seeds.entries(n, at[use], low[use], many[use])
+                    doc = np.searchsorted(begins, place, side="right") - 1
+                    place = place - begins[doc]
+                    order = np.lexsort((item, doc))
+                    doc, place, item, pos = doc[order], place[order], item[order], pos[order]
+                    cut = np.flatnonzero(np.concatenate([[True], (np.diff(doc) != 0) | (np.diff(item) != 0)]))
+                    for s, e in zip(cut, [*cut[1:], len(doc)], strict=True):
+                        settle(first + int(doc[s]), int(item[s]), _covering(pos[s:e], n), lambda: tiles(place[s:e], pos[s:e], n))
         every = [sorted(x) for x in listed]
         return [*([b[k] for b in best] for k in range(4)), *([[x[k] for x in some] for some in every] for k in range(3))]
     return compute
@@ -150,7 +246,7 @@ def coverage(docs: DataFrame, benchmark: DataFrame, tile: int = MIN_TILE, drop:
         "item_coverage": F.array().cast("array<double>"), "item_tiles": F.array().cast("array<array<bigint>>")})
     for k in range(chunks):
         held = sorted({(r[0] if r[0] is not None else -1, bytes(r[1]))
-                       for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(chunks)) == k).collect()})
+                       for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(chunks)) == k).distinct().collect()})
         if chunks == 1:
             return _one(docs.select(*[c for c in docs.columns if c not in known]), held, tile, least, drop)
         new = _one(out, held, tile, least, (), "_")
