@@ -207,3 +207,17 @@ def all_features(spark, sf):
     """The whole feature table after cleanup (its parts have their own SQL twins)."""
     out, _ = build_features(scale.written(dense(spark, sf)), SPEC)
     return out
+
+
+_SKETCHED = ("sales", "price", "promo_discount")
+
+
+@register("cleanup_sketch", "SELECT " + ", ".join(f"""(SELECT count(*) FILTER (s < m.v) <= 0.5001 * count(s) + 1 AND count(*) FILTER (s <= m.v) >= 0.4999 * count(s) - 1
+  FROM (SELECT {c} AS s FROM dense), (SELECT median({c}) AS v FROM dense) m) AS {c}_within""" for c in _SKETCHED) + " FROM range(1)")
+def cleanup_sketch(spark, sf):
+    """Whether each sketched median's rank lies within a ten-thousandth of the rows of the middle, by an exact count."""
+    df = scale.written(dense(spark, sf).select(*_SKETCHED))
+    counts, middle = scale.sketched_medians(df, list(_SKETCHED))
+    inside = [((F.count_if(F.col(c) < middle[c]) <= 0.5001 * counts[c] + 1) & (F.count_if(F.col(c) <= middle[c]) >= 0.4999 * counts[c] - 1)).alias(f"{c}_within")
+              for c in _SKETCHED]
+    return df.agg(*inside)

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import functions as F
 
 from panelwright import scale
-from panelwright.catalog.base import R, SPEC, panel, r, register
-from panelwright.functions.numeric import in_order
-from panelwright.operators import evaluate, frames, report
-from panelwright.plans import forecasting
+from panelwright.catalog.base import BODIES, R, SPEC, panel, r, register
+from panelwright.catalog.forecasts import _BT, _ROUNDS, _models, _selection
+from panelwright.catalog.preparation import _BOUNDS
+from panelwright.functions.numeric import in_order, whole
+from panelwright.operators import evaluate, forecast, frames, report
+from panelwright.plans import forecasting, state
 from panelwright.sources import tables
-from panelwright.spec import Settings
+from panelwright.spec import ForecastOptions, Settings
 
 KEY = ["sku", "date"]
 
@@ -179,3 +182,66 @@ def train_then_predict(spark, sf):
     path, settings = f"{scale.checkpoint_folder(spark)}/trained-{uuid.uuid4().hex}", Settings()
     forecasting.save(forecasting.train(panel(spark, sf), settings), spark, path)
     return forecasting.predict(panel(spark, sf), forecasting.load(spark, path), settings)
+
+
+def _renamed(sql: str) -> str:
+    """A second set of fits beside the first."""
+    return re.sub(r"\b(fits|wd|pred)\b", r"\1_final", sql)
+
+
+# the whole run by its parts: prepared and cleaned panel, backtest, greedy selection, forecast from the cut, metrics
+_RUN = f"""
+WITH {_BOUNDS.replace('FROM gappy', 'FROM panel').strip()},
+kept AS (SELECT c.sku, c.date, c.sales, p.promo_flag FROM clipped c JOIN panel p ON p.sku = c.sku AND p.date = c.date
+         WHERE c.sku IN (SELECT sku FROM clipped GROUP BY sku HAVING count(*) >= 60)),
+limits AS (SELECT min(date) AS lo, max(date) AS hi FROM kept),
+cells AS (SELECT sku, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date FROM (SELECT DISTINCT sku FROM kept), limits),
+middle AS (SELECT quantile_cont(sales, 0.5) AS m FROM kept),
+clean_ AS (SELECT c.sku, c.date, coalesce(k.sales, m) AS sales, coalesce(k.promo_flag, 0) AS promo_flag
+           FROM cells c LEFT JOIN kept k ON k.sku = c.sku AND k.date = c.date, middle),
+{_BT.replace('FROM panel', 'FROM clean_').strip().removeprefix('WITH ')}, {_selection()},
+rounds_ AS ({' UNION ALL '.join(f'SELECT {k} AS k, e, c FROM pick_{k}' for k in range(1, _ROUNDS + 1))}),
+best_ AS (SELECT k, c FROM rounds_ ORDER BY e, k LIMIT 1),
+now_ AS (SELECT sku, date, sales, 0 AS window_no, back AS rn FROM train),
+{_renamed(_models('now_'))},
+fc AS (SELECT sku, date, list_sum(list_transform(list_zip([{', '.join(forecast.MODELS)}], c), lambda z: z[1] * z[2])) / k AS mean FROM pred_final, best_),
+al AS (SELECT p.sku, p.date, p.sales AS actual, p.promo_flag, f.mean AS predicted FROM clean_ p JOIN fc f ON f.sku = p.sku AND f.date = p.date),
+ok AS (SELECT * FROM al WHERE actual <> 0 AND coalesce(promo_flag, 0) <> 1)"""
+
+
+@register("train_and_evaluate_closed_forms", f"""{_RUN}
+SELECT {_METRICS.replace('FROM panel', 'FROM clean_')}, CAST(0 AS BIGINT) AS n_unmatched, CAST(0 AS BIGINT) AS n_unmatched_skus FROM ok""")
+def train_and_evaluate_closed_forms(spark, sf):
+    """The whole run without the regression: preparation, cleanup, backtest, selection, forecast and metrics."""
+    settings = Settings(forecast=ForecastOptions(global_model=False, ensemble_rounds=_ROUNDS))
+    return forecasting.train_predict(panel(spark, sf), settings)["metrics"].withColumns({m: r(m) for m in _M})
+
+
+@register("train_and_forecast_closed_forms", f"{_RUN} SELECT sku, date, {R('mean')} AS mean FROM fc")
+def train_and_forecast_closed_forms(spark, sf):
+    """The forecast of that run, stored and read again."""
+    settings = Settings(forecast=ForecastOptions(global_model=False, ensemble_rounds=_ROUNDS))
+    return forecasting.train_predict(panel(spark, sf), settings)["forecast"].select(*KEY, r("mean"))
+
+
+@register("train_then_predict_from_state", f"""{_RUN.replace("now_ AS (SELECT sku, date, sales, 0 AS window_no, back AS rn FROM train)", "now_ AS (SELECT sku, date, sales, 0 AS window_no, rn FROM back_)")}
+SELECT sku, date, {R('mean')} AS mean FROM fc""")
+def train_then_predict_from_state(spark, sf):
+    """Train, store the model and the state of every series, and forecast beyond the data from these alone."""
+    settings = Settings(forecast=ForecastOptions(global_model=False, ensemble_rounds=_ROUNDS))
+    path = f"{scale.checkpoint_folder(spark)}/trained-{uuid.uuid4().hex}"
+    raw = panel(spark, sf)
+    forecasting.save(forecasting.train(raw, settings), spark, path)
+    cleaned, _ = forecasting.cleaned_history(raw, settings)
+    state.store(forecasting.series_state(cleaned, settings), f"{path}/state", SPEC.id, [], 4)
+    return forecasting.predict_from_state(state.stored(spark, f"{path}/state"), forecasting.load(spark, path), settings).select(*KEY, r("mean"))
+
+
+@register("state_with_new_days", BODIES["baseline_forecasts"].replace(" FROM pred", f", {R('trend_weekday')} AS trend_weekday FROM pred"))
+def state_with_new_days(spark, sf):
+    """The state of the history up to a year before its end, merged with what came later, forecasts like the whole history."""
+    df = scale.written(panel(spark, sf).select(*KEY, "sales"))
+    cut = F.date_sub(F.max("date").over(whole(SPEC)), 365)
+    early = df.withColumn("_cut", cut).where(F.col("date") <= F.col("_cut")).drop("_cut")
+    after = state.merged(state.series_state(early, SPEC), df, SPEC)
+    return state.forecasts(after, SPEC).select(*KEY, "step", *[r(m) for m in forecast.MODELS])

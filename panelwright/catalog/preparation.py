@@ -31,8 +31,18 @@ def read_panel_csv(spark, sf):
     return tables.read_panel(spark, path, SPEC).withColumn("price", r("price"))
 
 
-@register("read_panel_parquet", "SELECT p_brand AS sku, p_type AS category, CAST(p_size AS DOUBLE) AS sales FROM part")
+@register("read_panel_parquet", f"""
+SELECT sku, date, sales, category, subcategory, brand, product_group, promo_flag, promo_discount,
+       special_event, {R('price')} AS price FROM gappy""")
 def read_panel_parquet(spark, sf):
+    """Days as text and flags as doubles, as other writers leave them."""
+    path = _folder(spark, "panel-parquet")
+    gappy(spark, sf).withColumns({"date": F.date_format("date", "yyyy-MM-dd"), "promo_flag": F.col("promo_flag").cast("double")}).write.parquet(path)
+    return tables.read_panel(spark, path, SPEC, fmt="parquet").withColumn("price", r("price"))
+
+
+@register("normalised_table", "SELECT p_brand AS sku, p_type AS category, CAST(p_size AS DOUBLE) AS sales FROM part")
+def normalised_table(spark, sf):
     spec = PanelSpec(id="p_brand", ts="day", target="p_size", static=("p_type",))
     part = spark.read.parquet(f"{sf}/part.parquet")
     return tables.normalise(part, spec).select(F.col("p_brand").alias("sku"), F.col("p_type").alias("category"),

@@ -49,15 +49,21 @@ def _finite(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns({c: finite_or_null(F.col(c)) for c in columns if c in floating})
 
 
-def fit(df: DataFrame, spec: PanelSpec) -> CleanupRules:
-    """One count pass over all numeric columns, then medians of the columns that need one."""
+def fit(df: DataFrame, spec: PanelSpec, medians: str = "exact") -> CleanupRules:
+    """One count pass over all numeric columns, then medians of the columns that need one. With ``medians="sketch"`` a single
+    job counts and sketches all columns, and a median's rank is off by a ten-thousandth of the rows at most."""
     columns = [c for c in numeric_columns(df) if c not in (spec.id, spec.ts)]
     finite = _finite(df.select(*columns), columns)
+    if medians == "sketch":
+        counts, middle = scale.sketched_medians(finite, columns)
+        return CleanupRules(tuple(columns), {c: float(middle[c] or 0.0) if fill_kind(c) == "general" else 0.0 for c in columns if counts[c] < counts[""]})
+    if medians != "exact":
+        raise ValueError(f"unknown medians {medians!r}: exact or sketch")
     counts = finite.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(c).alias(c) for c in columns]).first().asDict()
     missing = [c for c in columns if counts[c] < counts["_rows"]]
     general = [c for c in missing if fill_kind(c) == "general"]
-    medians = scale.column_medians(finite, general, counts=counts)
-    return CleanupRules(tuple(columns), {c: float(medians.get(c) or 0.0) for c in missing})
+    middle = scale.column_medians(finite, general, counts=counts)
+    return CleanupRules(tuple(columns), {c: float(middle.get(c) or 0.0) for c in missing})
 
 
 def _within(x: Column, lo: float, hi: float) -> Column:

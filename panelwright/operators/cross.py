@@ -127,9 +127,8 @@ def price_position(df: DataFrame, spec: PanelSpec, source: DataFrame | None = No
     """``price_rank_in_category`` (average rank over the number of prices) and
     ``price_vs_category_median`` (within 0.01..100, 1 when unknown), per category and day.
 
-    Category-days of bounded size are ordered by a window. Beyond that, positions come
-    from distinct prices in slices, joined back by shuffle; adaptive skew splitting
-    handles a price shared by very many rows.
+    Category-days of bounded size are ordered by a window. Beyond that, positions come from distinct prices in
+    slices and are attached by price; a price shared by very many rows is split by its size.
     """
     keys, keep, source = ["category", spec.ts], df.columns, df if source is None else source
     if scale.biggest_group(source, keys) <= scale.GROUP_ROWS:
@@ -141,7 +140,7 @@ def price_position(df: DataFrame, spec: PanelSpec, source: DataFrame | None = No
     else:
         places = scale.value_positions(source, keys, "price")
         medians = scale.group_quantiles(source, keys, "price", {"_median": 0.5})
-        df = scale.attach(df.join(places, [*keys, "price"], "left"), medians, keys)
+        df = scale.attach(scale.attach(df, places, [*keys, "price"]), medians, keys)
     rank = (F.col("_before") + (F.col("_cnt") + 1) / 2) / F.col("_total")
     ratio = F.col("price") / clip(F.col("_median"), 1e-6)
     return df.withColumns({

@@ -47,11 +47,12 @@ def raw_features(df: DataFrame, spec: PanelSpec, opts: FeatureOptions = FeatureO
 
 
 def build_features(df: DataFrame, spec: PanelSpec, opts: FeatureOptions = FeatureOptions(),
-                   rules: cleanup.CleanupRules | None = None, asof: dt.date | None = None) -> tuple[DataFrame, cleanup.CleanupRules]:
+                   rules: cleanup.CleanupRules | None = None, asof: dt.date | None = None,
+                   medians: str = "exact") -> tuple[DataFrame, cleanup.CleanupRules]:
     """Features after cleanup, with the rules used. Without ``rules`` they are fitted here,
-    on features written once to the checkpoint folder instead of recomputed per pass."""
+    on features written once to the checkpoint folder instead of recomputed per pass; ``medians`` says how, see ``cleanup.fit``."""
     raw = raw_features(df, spec, opts, asof)
     if rules is None:
         raw = scale.written(raw)
-        rules = cleanup.fit(raw, spec)
+        rules = cleanup.fit(raw, spec, medians)
     return cleanup.apply(raw, spec, rules), rules

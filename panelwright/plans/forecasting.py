@@ -12,6 +12,7 @@ from panelwright import scale
 from panelwright.functions.numeric import in_order
 from panelwright.operators import cleanup, evaluate, forecast, frames, prepare, regression, report
 from panelwright.operators.regression import GlobalModel
+from panelwright.plans import state
 from panelwright.plans.features import build_features
 from panelwright.plans.prepare import prepare_panel
 from panelwright.sources import tables
@@ -43,7 +44,7 @@ def cleaned_history(raw: DataFrame, settings: Settings, rules: cleanup.CleanupRu
     panel = prepare_panel(raw, spec, settings.prep) if panel is None else panel
     needed = [c for c in dict.fromkeys((spec.id, spec.ts, spec.target, *regression.PLANNED, *spec.static)) if c in raw.columns]
     panel = scale.written(panel.select(*needed))
-    rules = rules or cleanup.fit(panel, spec)
+    rules = rules or cleanup.fit(panel, spec, settings.prep.cleanup_medians)
     return scale.written(cleanup.apply(panel, spec, rules)), rules
 
 
@@ -83,12 +84,17 @@ def _train(cleaned: DataFrame, rules: cleanup.CleanupRules, settings: Settings)
 
 
 def _forecast(history: DataFrame, trained: Trained, settings: Settings, promo: DataFrame | None = None) -> DataFrame:
-    """Point forecast and quantiles. Where errors have prices, the point is the quantile that costs least."""
     spec, opts = settings.panel, settings.forecast
     wide = forecast.point_forecasts(history, spec, opts.horizon)
     if trained.regression:
         ahead = regression.predict_global(trained.regression, history, spec, promo)
         wide = wide.join(ahead.select(spec.id, spec.ts, F.col("mean").alias(regression.NAME)), [spec.id, spec.ts], "left")
+    return _blended(wide, trained, settings)
+
+
+def _blended(wide: DataFrame, trained: Trained, settings: Settings) -> DataFrame:
+    """Point forecast and quantiles. Where errors have prices, the point is the quantile that costs least."""
+    spec, opts = settings.panel, settings.forecast
     wide = forecast.combine(wide, trained.weights, trained.models)
     long = forecast.to_long(wide.drop(*trained.models), ("ensemble",))
     names = [forecast.quantile_name(q) for q in sorted(opts.quantiles)]
@@ -105,6 +111,23 @@ def predict(raw: DataFrame, trained: Trained, settings: Settings, promo: DataFra
     return _forecast(cleaned, trained, settings, promo)
 
 
+def series_state(cleaned: DataFrame, settings: Settings) -> DataFrame:
+    """One row per series of a cleaned history: all that ``predict_from_state`` reads."""
+    keep = regression.reach(settings.forecast.horizon) if settings.forecast.global_model else state.TAIL_ROWS
+    return state.series_state(cleaned, settings.panel, max(keep, state.TAIL_ROWS))
+
+
+def advance(held: DataFrame, days: DataFrame, trained: Trained, settings: Settings) -> DataFrame:
+    """The state after new days. They are cleaned by the rules of training; bounds and gaps of a series are not fitted anew."""
+    keep = regression.reach(settings.forecast.horizon) if settings.forecast.global_model else state.TAIL_ROWS
+    return state.merged(held, cleanup.apply(days, settings.panel, trained.rules), settings.panel, max(keep, state.TAIL_ROWS))
+
+
+def predict_from_state(held: DataFrame, trained: Trained, settings: Settings, promo: DataFrame | None = None) -> DataFrame:
+    """Forecast the days after each series' last one from its state, without its history."""
+    return _blended(state.forecasts(held, settings.panel, settings.forecast.horizon, trained.regression, promo), trained, settings)
+
+
 def train_predict(raw: DataFrame, settings: Settings, alignment: str = "date", panel: DataFrame | None = None,
                   promo: DataFrame | None = None) -> dict:
     """Train, forecast and score.
@@ -156,7 +179,8 @@ def load(spark: SparkSession, path: str) -> Trained:
 def run(spark: SparkSession, settings: Settings, mode: str = "train_predict") -> dict[str, DataFrame]:
     """The three modes over the paths of the settings; writes the artefacts each one produces.
 
-    Both training modes save the model. Beside forecast, metrics and report, ``train_predict`` writes the leaderboard, the
+    Both training modes save the model and, where ``state_path`` is given, the state of every series; ``predict`` then reads this state
+    and of the panel only the days behind it, and stores the state it has come to. Beside forecast, metrics and report, ``train_predict`` writes the leaderboard, the
     inputs' importance and the chart tables next to the predictions. What is returned is read from what was written.
     """
     if mode not in ("train", "predict", "train_predict"):
@@ -172,12 +196,20 @@ def _run(spark: SparkSession, settings: Settings, mode: str) -> dict[str, DataFr
     promo = tables.read_future_promo(spark, paths.get("future_promo"), spec)
     if "features_path" in paths:
         panel = scale.written(prepare_panel(raw, spec, settings.prep))
-        featured, _ = build_features(panel, spec, settings.features)
+        featured, _ = build_features(panel, spec, settings.features, medians=settings.prep.cleanup_medians)
         tables.write_features(featured, paths["features_path"], spec)
+    if mode != "predict" and "state_path" in paths:
+        cleaned, _ = cleaned_history(raw, settings, panel=panel)
+        _store_state(series_state(cleaned, settings), settings)
     if mode == "train":
         save(train(raw, settings, panel), spark, paths["model"])
         return {}
-    if mode == "predict":
+    if mode == "predict" and "state_path" in paths:
+        trained = load(spark, paths["model"])
+        held = scale.written(advance(state.stored(spark, paths["state_path"]), raw, trained, settings))
+        out = {"forecast": predict_from_state(held, trained, settings, promo)}
+        _store_state(held, settings)
+    elif mode == "predict":
         out = {"forecast": predict(raw, load(spark, paths["model"]), settings, promo)}
     else:
         out = train_predict(raw, settings, panel=panel, promo=promo)
@@ -197,6 +229,11 @@ def _run(spark: SparkSession, settings: Settings, mode: str) -> dict[str, DataFr
     return {"forecast": spark.read.schema(stored).option("header", True).csv(paths["predictions_path"])}
 
 
+def _store_state(held: DataFrame, settings: Settings) -> None:
+    """In buckets of some ten thousand series."""
+    state.store(held, settings.paths["state_path"], settings.panel.id, [], max(1, -(-held.count() // 10_000)))
+
+
 def _stem(path: str) -> str:
     """A path without the ending of its last part."""
     head, slash, tail = path.rstrip("/").rpartition("/")

@@ -21,8 +21,10 @@ BROADCAST_ROWS = 1_000_000
 GROUP_ROWS = 1_000_000
 # Values of a column up to which an exact percentile may hold them all in one task.
 EXACT_VALUES = 50_000
-# Slices of a larger group for each multiple of the limit, and spread of a join key over tasks.
+# Slices of a larger group for each multiple of the limit.
 SLICES_PER_LIMIT = 4
+# Rows of one key that a join by shuffle leaves together, and the spread of rows without a key.
+HOT_ROWS = 100_000
 SALTS = 32
 
 
@@ -79,17 +81,23 @@ def attach(df: DataFrame, stats: DataFrame, keys: list[str], limit: int | None =
     """Left-join one-row-per-key ``stats`` onto ``df``.
 
     The table is broadcast after its row count has been checked, so ``df`` is not
-    shuffled. A larger table is joined by shuffle on the keys plus a salt, which
-    spreads a key that holds a large share of ``df`` over several tasks. ``small``
-    skips the count when the caller has already bounded the table.
+    shuffled. A larger table is joined by shuffle. Keys with more than ``HOT_ROWS`` rows in ``df`` are counted first; only
+    these get a salt, of as many values as their size needs, and only their rows of ``stats`` are copied. Rows with a NULL
+    key match nothing and are spread. ``small`` skips the count when the caller has already bounded the table.
     """
     limit = BROADCAST_ROWS if limit is None else limit
     if small or at_most(stats.select(*keys), limit):
         return df.join(F.broadcast(stats), keys, "left")
-    salted = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    others = [c for c in df.columns if c not in keys]
-    spread = df.withColumn("_salt", F.pmod(F.xxhash64(*others), F.lit(SALTS)).cast("int"))
-    return spread.join(salted.hint("merge"), [*keys, "_salt"], "left").drop("_salt")
+    hot = written(df.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HOT_ROWS)
+                  .select(*keys, F.ceil(F.col("_n") / HOT_ROWS).cast("int").alias("_salts")))
+    # fewer than rows / HOT_ROWS of them; still checked
+    hot = F.broadcast(hot) if at_most(hot, BROADCAST_ROWS) else hot
+    one = F.coalesce("_salts", F.lit(1))
+    copied = stats.join(hot, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), one - 1))).drop("_salts")
+    missing = F.greatest(*[F.col(k).isNull().cast("int") for k in [*keys, keys[0]]]) == 1
+    dealt = F.xxhash64(*df.columns)
+    spread = df.join(hot, keys, "left").withColumn("_salt", F.pmod(dealt, F.when(missing, F.lit(SALTS)).otherwise(one)).cast("int")).drop("_salts")
+    return spread.join(copied.hint("merge"), [*keys, "_salt"], "left").drop("_salt")
 
 
 def attach_series(df: DataFrame, stats: DataFrame, key: str, limit: int | None = None, small: bool = False) -> DataFrame:
@@ -241,6 +249,18 @@ def column_medians(df: DataFrame, columns: list[str], limit: int | None = None,
     return result
 
 
+def sketched_medians(df: DataFrame, columns: list[str], accuracy: int = 10_000) -> tuple[dict[str, int], dict[str, float | None]]:
+    """Rows with a value, with the table's row count under ``""``, and an approximate median of each column, from one scan.
+
+    Quantile sketches of all columns are merged like counts. The median given is a value whose rank is off by ``1 / accuracy`` of the
+    column's rows at most.
+    """
+    row = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(c).alias(f"n_{i}") for i, c in enumerate(columns)],
+                 *[F.percentile_approx(c, F.lit(0.5), F.lit(accuracy)).alias(f"m_{i}") for i, c in enumerate(columns)]).first()
+    medians = {c: None if row[f"m_{i}"] is None else float(row[f"m_{i}"]) for i, c in enumerate(columns)}
+    return {"": row["_rows"]} | {c: row[f"n_{i}"] for i, c in enumerate(columns)}, medians
+
+
 def _nth(column: str, state: dict, rank: int) -> Column:
     """The value at a 0-based rank of the whole column, read inside its bracket."""
     level = (rank - state["below"] + 0.5) / state["held"]

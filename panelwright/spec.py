@@ -58,6 +58,7 @@ class PrepOptions:
     min_history: int = 60
     drop_zero_series: bool = False
     densify_first: bool = False           # fill calendar gaps before imputation
+    cleanup_medians: str = "exact"        # exact | sketch (one scan, stated error)
 
 
 @dataclass(frozen=True)
@@ -123,6 +124,7 @@ class Settings:
             upper_quantile=outliers.get("upper_quantile", d_prep.upper_quantile),
             min_history=prep.get("min_history_length", d_prep.min_history),
             drop_zero_series=prep.get("remove_zero_sales_skus", d_prep.drop_zero_series),
+            cleanup_medians=prep.get("cleanup_medians", d_prep.cleanup_medians),
         )
         features = FeatureOptions(
             lags={c: tuple(v) for c, v in feats.get("lag_features", d_feat.lags).items()},
