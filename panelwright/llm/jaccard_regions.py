@@ -2,7 +2,7 @@
 
 1 - Jaccard is a metric. Distances between texts are mostly near 1, where no pivot can tell them apart, so regions
 are first opened only around shingles that similar documents must share: of each set, the rarest
-quarter of its shingles. In every region a pivot is compared with all members. Members within the threshold of it are
+quarter of its shingles, by exact counts. In every region a pivot is compared with all members. Members within the threshold of it are
 one component and need no more comparisons among each other. The others meet the members in the rings of pivot distance that the
 triangle inequality leaves, in groups of bounded size; those near a border are replicated.
 """
@@ -15,25 +15,27 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelwright.llm import blocks
 from panelwright.llm.text import grams, mix, pieces, words
-from panelwright.scale import at_most, written
+from panelwright.scale import at_most, attach, written
 
 SHINGLE = 5
 # Similarity of linked documents in hundredths, and the distance that belongs to it.
 LEAST = 75
 RADIUS = 1 - LEAST / 100
-# Counters of the sketch that says which shingles are rare (it only orders them), and the chunks it is merged in.
-COUNTERS, CHUNKS = 1 << 22, 64
 # Members of a region that meet in one task, on either side.
 BLOCK = 512
 # Rows of groups, members replicated, for each call that joins them.
 BUCKET_ROWS = 4000
+# Members that one text of a pivot is compared with, and texts that a task compares.
+GROUP_MEMBERS, TASK_TEXTS = 256, 4000
 # Ids (8 bytes each) up to which they are broadcast.
 BROADCAST_IDS = 1_000_000
 
+_DESCRIBED = ["doc_id", "n", "set", "region", "place"]
 _SALT = np.uint64(0xA0761D6478BD642F)
 
 
@@ -51,85 +53,90 @@ def _set_id(shingles: np.ndarray) -> int:
     return int(np.sum(mix(shingles ^ _SALT), dtype=np.uint64).astype(np.int64)) if len(shingles) else 0
 
 
-def describe(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """``doc_id, n, set`` of every document, written, and the sketch of how many sets have a shingle (steps of its logarithm)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, seen = np.zeros(COUNTERS, np.uint32), set()
-        names = ["doc_id", "n", "set", "chunk", "counts"]
+def describe(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, n, set`` of every document, and ``region, set, n, place``: the shingles among the rarest quarter of a set that
+    other sets may have as well, with their place in the order of rarity; both written.
 
-        def rows(ids: pa.Array, n: list, sets: list, chunk: list, held: list) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), pa.array(sets, pa.int64()), pa.array(chunk, pa.int64()),
-                                               pa.array(held, pa.binary())], names=names)
-        for batch in batches:
-            n, sets, new = [], [], []
-            for shingles in shingle_sets([t or b"" for t in batch.column(1).to_pylist()]):
-                n.append(len(shingles))
-                sets.append(_set_id(shingles))
-                if n[-1] and sets[-1] not in seen:
-                    seen.add(sets[-1])
-                    new.append(shingles)
-            if new:
-                counts += np.bincount((np.concatenate(new) % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS).astype(np.uint32)
-            yield rows(batch.column(0), n, sets, [None] * len(n), [None] * len(n))
-        packer = zstandard.ZstdCompressor(level=1)
-        held = [packer.compress(c.tobytes()) for c in np.split(counts, CHUNKS)]
-        yield rows(pa.nulls(CHUNKS, pa.int64()), [None] * CHUNKS, [None] * CHUNKS, list(range(CHUNKS)), held)
-
-    def merge(part: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(COUNTERS // CHUNKS, np.float64)
-        for c in part["counts"]:
-            total += np.frombuffer(zstandard.ZstdDecompressor().decompress(c), np.uint32)
-        steps = np.minimum(255, np.round(8 * np.log2(1 + total))).astype(np.uint8)
-        return pd.DataFrame({"chunk": [int(part["chunk"].iloc[0])], "steps": [steps.tobytes()]})
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    all_rows = written(slim.mapInArrow(run, "doc_id long, n long, set long, chunk long, counts binary"))
-    merged = all_rows.where("chunk IS NOT NULL").groupBy("chunk").applyInPandas(merge, "chunk long, steps binary").collect()
-    steps = np.concatenate([np.frombuffer(r[1], np.uint8) for r in sorted(merged)]) if merged else np.zeros(COUNTERS, np.uint8)
-    return all_rows.where("chunk IS NULL").select("doc_id", "n", "set"), steps  # the sketch has COUNTERS bytes, whatever the corpus
-
-
-def regions(docs: DataFrame, steps: np.ndarray) -> DataFrame:
-    """``region, set, n``: the sets that have a shingle among their rarest quarter, for every shingle that two of them have.
-
-    Linked sets of sizes x <= y have o = 3(x + y)/7 shingles in common. So in any order common to all sets they share one that
-    is among the first x - o + 1 of the one and the first y - o + 1 of the other; as x is at least 3y/4, the rarest quarter of a
-    set holds all that can matter. Within a region, ``low`` is the size of its smallest set that could be the smaller of two;
-    members whose shingle stands too late for any partner of that size or more go. Regions with the same members are kept once.
+    Blocks of documents ask slots how many sets have each of their shingles (a repeated set counts once in a block, so copies can only
+    make a shingle look more frequent). Linked sets of sizes x <= y have o = 3(x + y)/7 shingles in common. So in any order common to all sets they share one
+    that is among the first x - o + 1 of the one and the first y - o + 1 of the other; as x is at least 3y/4, the rarest quarter of a set holds all that can
+    matter. What a single set has opens no region, and most rare shingles are of that kind.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(steps)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = set()
-        for batch in batches:
-            first, sets, sizes = [], [], []
-            for shingles in shingle_sets([t or b"" for t in batch.column(0).to_pylist()]):
-                one, n = _set_id(shingles), len(shingles)
-                if n and one not in seen:
-                    seen.add(one)
-                    order = np.argsort(shared.value[(shingles % np.uint64(COUNTERS)).astype(np.int64)], kind="stable")
-                    first.append(shingles[order[:n - (LEAST * n + 99) // 100 + 1]])
-                    sets.append(one)
-                    sizes.append(n)
-            many = [len(x) for x in first]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(first).astype(np.int64) if first else np.empty(0, np.int64)),
-                 pa.array(np.repeat(np.array(sets, np.int64), many)), pa.array(np.repeat(np.array(sizes, np.int64), many)),
-                 pa.array(np.concatenate([np.arange(m) for m in many]) if many else np.empty(0, np.int64))],
-                names=["region", "set", "n", "place"])
-    posted = docs.select(F.col("text").cast("binary")).mapInArrow(run, "region long, set long, n long, place long")
-    # one exchange and one sort: equal rows of several tasks go, then every row learns of the others in its region
-    by_set = Window.partitionBy("region").orderBy("set")
-    once = posted.withColumn("_last", F.lag("set").over(by_set)).where("_last IS NULL OR _last != set").drop("_last")
-    whole = Window.partitionBy("region")
+    packed = blocks.pack(docs, F.lit(0))
+    n_slots = blocks.slots(packed)
+
+    def distinct(block: blocks.Block) -> tuple[np.ndarray, np.ndarray]:
+        seen, new = set(), []
+        for shingles in shingle_sets(block.texts):
+            one = _set_id(shingles)
+            if len(shingles) and one not in seen:
+                seen.add(one)
+                new.append(shingles)
+        return np.unique(np.concatenate(new), return_counts=True) if new else (np.empty(0, np.uint64), np.empty(0, np.int64))
+
+    def question(block: blocks.Block) -> tuple[np.ndarray, np.ndarray]:
+        hashes, counts = distinct(block)
+        order = blocks.asked_order(hashes, n_slots)
+        return hashes[order], np.minimum(counts[order], 255).astype(np.uint8)
+
+    def answer(hashes: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, list[float]]:
+        order = np.argsort(hashes, kind="stable")
+        first = blocks.first_of_runs(hashes[order])
+        totals = np.add.reduceat(numbers[order].astype(np.int64), first) if len(first) else np.empty(0, np.int64)
+        steps = np.minimum(255, np.round(8 * np.log2(totals))).astype(np.uint8)     # 0: one set
+        out = np.empty(len(hashes), np.uint8)
+        out[order] = np.repeat(steps, np.diff(np.append(first, len(hashes))))
+        return out, []
+
+    def post(block: blocks.Block) -> Iterator[pa.RecordBatch]:
+        hashes, _ = distinct(block)
+        steps = np.empty(len(hashes), np.uint8)
+        if len(hashes):
+            steps[blocks.asked_order(hashes, n_slots)] = block.answers["sets"]
+        ids, many, sets, seen = [], [], [], set()
+        region, of, size, place = [], [], [], []
+        for i, shingles in zip(block.ids, shingle_sets(block.texts), strict=True):
+            one, n = _set_id(shingles), len(shingles)
+            ids.append(i)
+            many.append(n)
+            sets.append(one)
+            if n and one not in seen:
+                seen.add(one)
+                own = steps[np.searchsorted(hashes, shingles)]
+                order = np.argsort(own, kind="stable")[:n - (LEAST * n + 99) // 100 + 1]
+                shared = np.flatnonzero(own[order])
+                region.append(shingles[order[shared]].astype(np.int64))
+                of += [one] * len(shared)
+                size += [n] * len(shared)
+                place.append(shared)
+        none = pa.nulls(len(ids), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(many, pa.int64()), pa.array(sets, pa.int64()), none, none], names=_DESCRIBED)
+        if of:
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(of), pa.int64()), pa.array(size, pa.int64()), pa.array(of, pa.int64()),
+                                              pa.array(np.concatenate(region)), pa.array(np.concatenate(place))], names=_DESCRIBED)
+    # five bytes of a hash: two that agree in them count together, which only moves them in the order, in all sets alike
+    answers = blocks.ask(packed, "sets", n_slots, question, answer, width=5)
+    rows = written(blocks.each(blocks.with_answers(packed, answers), post, ", ".join(f"{c} long" for c in _DESCRIBED)))
+    return rows.where("place IS NULL").select("doc_id", "n", "set"), rows.where("place IS NOT NULL").select("region", "set", "n", "place")
+
+
+def regions(posted: DataFrame) -> DataFrame:
+    """``region, set, n``: sets that have a region's shingle among their rarest quarter, where there are two or more.
+
+    ``low`` is the size of a region's smallest set that could be the smaller of two; members whose shingle stands too late for any
+    partner of that size or more go. Regions with the same members are kept once. All is counted before it is shuffled, so no
+    task holds a region.
+    """
+    once = written(posted.groupBy("region", "set").agg(F.first("n").alias("n"), F.first("place").alias("place")))
     n, place = F.col("n"), F.col("place")
-    low = F.min(F.when(place <= n - _overlap(n, n), n)).over(whole)
+    low = once.groupBy("region").agg(F.min(F.when(place <= n - _overlap(n, n), n)).alias("_low"), F.count(F.lit(1)).alias("_many")).where("_many > 1")
     least = F.greatest("_low", F.ceil(n * LEAST / 100))
-    once = once.withColumn("_low", low).where((place <= n - _overlap(n, n)) | (place <= n - _overlap(least, n)))
-    several = written(once.select("region", "set", "n").withColumns({
-        "members": F.count(F.lit(1)).over(whole), "a": F.bit_xor(F.xxhash64("set")).over(whole),
-        "b": F.bit_xor(F.xxhash64(F.lit(1), F.col("set"))).over(whole)}).where(F.col("members") > 1))
-    kept = several.groupBy("members", "a", "b").agg(F.min("region").alias("region"))
-    return written(several.select("region", "set", "n").join(kept.select("region"), "region"))
+    near = written(attach(once, written(low), ["region"]).where(F.col("_many").isNotNull()).where(
+        (place <= n - _overlap(n, n)) | (place <= n - _overlap(least, n))).select("region", "set", "n"))
+    several = near.groupBy("region").agg(F.count(F.lit(1)).alias("members"), F.bit_xor(F.xxhash64("set")).alias("a"),
+                                         F.bit_xor(F.xxhash64(F.lit(1), F.col("set"))).alias("b")).where("members > 1")
+    kept = written(several.groupBy("members", "a", "b").agg(F.min("region").alias("region")).select("region", F.lit(True).alias("_kept")))
+    return written(attach(near, kept, ["region"]).where("_kept").drop("_kept"))
 
 
 def _overlap(x: Column, y: Column) -> Column:
@@ -138,48 +145,59 @@ def _overlap(x: Column, y: Column) -> Column:
 
 
 def bodies(docs: DataFrame, described: DataFrame, members: DataFrame) -> DataFrame:
-    """``set, body``: one compressed text for every set in a region, written."""
+    """``set, body``: a compressed text for every set in a region, written. Rows that repeat an id can give a set several times, once in a task."""
     wanted = described.join(members.select("set").distinct(), "set").groupBy("set").agg(F.min("doc_id").alias("doc_id"))
     wanted = written(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = zstandard.ZstdCompressor(level=3)
+        packer, seen = zstandard.ZstdCompressor(level=3), set()
         for batch in batches:
             texts = [t or b"" for t in batch.column(1).to_pylist()]
-            own = pa.array([_set_id(s) for s in shingle_sets(texts)], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), own, pa.array([packer.compress(t) for t in texts], pa.binary())],
-                                             names=["set", "own", "body"])
+            sets, bodies = [], []
+            for wanted_set, own, text in zip(batch.column(0).to_pylist(), shingle_sets(texts), texts, strict=True):
+                # rows that share an id can have other texts
+                if wanted_set not in seen and _set_id(own) == wanted_set:
+                    seen.add(wanted_set)
+                    sets.append(wanted_set)
+                    bodies.append(packer.compress(text))
+            yield pa.RecordBatch.from_arrays([pa.array(sets, pa.int64()), pa.array(bodies, pa.binary())], names=["set", "body"])
     few = at_most(wanted, BROADCAST_IDS)
     slim = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("binary").alias("text"))
     found = slim.join(F.broadcast(wanted) if few else wanted, F.col("_id").eqNullSafe(F.col("doc_id"))).select("set", "text")
-    # rows that share an id can have other texts
-    return written(found.mapInArrow(run, "set long, own long, body binary").where("set = own").select("set", "body").dropDuplicates(["set"]))
+    return written(found.mapInArrow(run, "set long, body binary"))
 
 
 def distances(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """``a, b, inter, whole`` for distinct pairs ``a, b``, written: sizes of intersection and union."""
+    """``a, b, inter, whole`` for distinct pairs ``a, b`` with the ``pivot`` among them, written: sizes of intersection and union.
+
+    Members are dealt to groups of a pivot and a salt; the pivot's text comes once to each of its groups, a member's once for each pivot.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
-        held: dict[int, np.ndarray] = {}
-
-        def shingles(key: int, body: bytes) -> np.ndarray:
-            if key not in held:
-                if len(held) > 256:
-                    held.clear()
-                held[key] = next(shingle_sets([unpack.decompress(body)]))
-            return held[key]
+        group, pivot, seen = None, np.empty(0, np.uint64), None
         for batch in batches:
-            inter, whole = [], []
-            for a, b, x, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                p, q = shingles(a, x), shingles(b, y)
-                both = np.concatenate([p, q])
+            out: list[tuple[int, int, int, int]] = []
+            for key, salt, one, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if ((key, salt), one) == (group, seen):
+                    continue    # a set that several tasks have found
+                own = next(shingle_sets([unpack.decompress(body)]))
+                seen = one
+                if (key, salt) != group:        # the pivot is the first of its group
+                    group, pivot = (key, salt), own
+                    continue
+                both = np.concatenate([pivot, own])
                 both.sort()
-                inter.append(int((both[1:] == both[:-1]).sum()))
-                whole.append(len(both) - inter[-1])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(inter, pa.int64()), pa.array(whole, pa.int64())],
-                                             names=["a", "b", "inter", "whole"])
-    ready = (pairs.join(texts.select(F.col("set").alias("b"), F.col("body").alias("y")), "b")
-             .join(texts.select(F.col("set").alias("a"), F.col("body").alias("x")), "a").select("a", "b", "x", "y"))
+                inter = int((both[1:] == both[:-1]).sum())
+                out.append((min(key, one), max(key, one), inter, len(both) - inter))
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out, strict=True) if out else [[]] * 4)], names=["a", "b", "inter", "whole"])
+    many = pairs.groupBy("pivot").agg(F.count(F.lit(1)).alias("many"))
+    dealt = pairs.join(many, "pivot").select("pivot", F.pmod(F.xxhash64("a", "b"), F.ceil(F.col("many") / GROUP_MEMBERS)).alias("salt"),
+                                             F.when(F.col("a") == F.col("pivot"), F.col("b")).otherwise(F.col("a")).alias("set"))
+    dealt = written(dealt)
+    asked = dealt.unionByName(dealt.select("pivot", "salt", F.col("pivot").alias("set")).distinct())
+    n = max(1, -(-asked.count() // TASK_TEXTS))
+    ready = (asked.join(texts.hint("shuffle_merge"), "set").repartition(n, "pivot", "salt")
+             .sortWithinPartitions("pivot", "salt", (F.col("set") != F.col("pivot")), "set").select("pivot", "salt", "set", "body"))
     return written(ready.mapInArrow(run, "a long, b long, inter long, whole long"))
 
 
@@ -204,15 +222,6 @@ def components(edges: DataFrame) -> DataFrame:
         labels = following.select("set", "label")
 
 
-def _sized(a: str, b: str) -> Column:
-    """Whether sizes allow a link."""
-    return F.least(F.col(a), F.col(b)) * 100 >= F.greatest(F.col(a), F.col(b)) * LEAST
-
-
-def _ordered(x: str, y: str) -> list[Column]:
-    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
-
-
 def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members with their component, of regions that hold more than one, and whether they are ``outside`` the region's largest."""
     own = members.join(labels, "set", "left").withColumn("label", F.coalesce("label", "set"))
@@ -234,7 +243,7 @@ def _ring_rows(rows: DataFrame) -> int:
 
 def _rings(rows: DataFrame) -> DataFrame:
     """Members in groups ``region, ring, part, with_part`` of bounded size, such that every member outside the largest component
-    meets all that can be linked to it.
+    meets all that can be linked to it. ``alone``: the whole region fits a bucket.
 
     A ring holds the members whose distance from the pivot lies within one window. By the triangle inequality a link reaches no
     farther than the next ring, so a member outside is replicated to its own ring and the two beside it.
@@ -242,22 +251,23 @@ def _rings(rows: DataFrame) -> DataFrame:
     ring = F.floor(F.col("d") / (RADIUS + 1e-9)).cast("int")
     parts, with_parts = _parts("members"), _parts("others")
     part, with_part = (F.pmod(F.xxhash64("set"), n).cast("int") for n in (parts, with_parts))
+    alone = F.col("members") * with_parts + 3 * F.col("others") * parts <= BUCKET_ROWS
     met = rows.select("region", ring.alias("ring"), part.alias("part"), F.explode(F.sequence(F.lit(0), with_parts - 1)).alias("with_part"),
-                      "set", "label", F.lit(False).alias("asks"))
+                      "set", "label", F.lit(False).alias("asks"), alone.alias("alone"))
     asks = rows.where("outside").select("region", F.explode(F.sequence(ring - 1, ring + 1)).alias("ring"), parts.alias("_parts"), with_part.alias("with_part"),
-                                        "set", "label", F.lit(True).alias("asks"))
-    asks = asks.where("ring >= 0").select("region", "ring", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("part"), "with_part", "set", "label", "asks")
+                                        "set", "label", F.lit(True).alias("asks"), alone.alias("alone"))
+    asks = asks.where("ring >= 0").select("region", "ring", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("part"), "with_part", "set", "label", "asks", "alone")
     return met.unionByName(asks)
 
 
 _GROUP = ["region", "ring", "part", "with_part"]
 
 
-def _join_groups(rows: pd.DataFrame) -> pd.DataFrame:
+def _join_groups(rows: pd.DataFrame, texts: pd.DataFrame) -> pd.DataFrame:
     """Links between the members that ask and those they meet, group by group; of links that join the same two components, the first."""
     rows = rows.sort_values([*_GROUP, "asks", "set"])
     unpack = zstandard.ZstdDecompressor()
-    once = rows.drop_duplicates("set")
+    once = texts.drop_duplicates("set")
     own = dict(zip(once["set"], shingle_sets([unpack.decompress(b) for b in once["body"]]), strict=True))
     group = rows[_GROUP].to_numpy()
     cuts = np.flatnonzero(np.concatenate([[True], (group[1:] != group[:-1]).any(axis=1)]))
@@ -295,9 +305,9 @@ def _join_group(keys: np.ndarray, labels: np.ndarray, sets: list[np.ndarray], n:
     return out
 
 
-def links(docs: DataFrame, described: DataFrame, steps: np.ndarray) -> DataFrame:
+def links(docs: DataFrame, described: DataFrame, posted: DataFrame) -> DataFrame:
     """Enough links ``a, b`` between sets to connect every component, written."""
-    members = regions(docs, steps)
+    members = regions(posted)
     texts = bodies(docs, described, members)
     # one pivot for each region, the member that shares most shingles: an original rather than one of its edited copies.
     # Pairs that many regions have are compared once
@@ -305,14 +315,17 @@ def links(docs: DataFrame, described: DataFrame, steps: np.ndarray) -> DataFrame
     pivots = members.join(weights, "set").groupBy("region").agg(F.max(F.struct("w", F.xxhash64("set").alias("h"), "set")).alias("p"))
     starred = members.join(pivots, "region").where(F.col("set") != F.col("p.set")).select("region", "set", F.col("p.set").alias("pivot"))
     starred = written(starred.withColumns({"a": F.least("set", "pivot"), "b": F.greatest("set", "pivot")}))
-    known = distances(starred.select("a", "b").distinct(), texts)
+    known = distances(starred.groupBy("a", "b").agg(F.min("pivot").alias("pivot")), texts)
     d = known.select("a", "b", (1 - F.col("inter") / F.col("whole")).alias("d"))
     labels = components(known.where(linked()))
     rows = written(_open(starred.join(d, ["a", "b"]).select("region", "set", "d"), labels))
     # small groups share a task's call; a bucket has some thousand rows, counted as replicated, and a task about one bucket
     buckets = max(1, -(-_ring_rows(rows) // BUCKET_ROWS))
-    met = _rings(rows).withColumn("bucket", F.pmod(F.xxhash64(*_GROUP), F.lit(buckets)))
-    found = met.join(texts, "set").repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_join_groups, "a long, b long")
+    met = written(_rings(rows).withColumn("bucket", F.pmod(F.when(F.col("alone"), F.xxhash64("region")).otherwise(F.xxhash64(*_GROUP)), F.lit(buckets))).drop("alone"))
+    # a text comes once to each bucket that has its set
+    asked = met.select(F.col("bucket").alias("at"), F.col("set").alias("one")).distinct()
+    bodies_of = asked.join(texts.hint("shuffle_merge"), F.col("one") == F.col("set")).select("at", "set", "body")
+    found = met.groupBy("bucket").cogroup(bodies_of.groupBy("at")).applyInPandas(_join_groups, "a long, b long")
     return written(known.where(linked()).select("a", "b").unionAll(found))
 
 
@@ -324,8 +337,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     linked, also if they repeat an id; a missing id is passed over where another is reachable. Further columns
     don't matter; an empty table gives no rows.
     """
-    described, steps = describe(docs)
-    found = links(docs, described, steps)
+    described, posted = describe(docs)
+    found = links(docs, described, posted)
     labels = components(found)
     sets = described.where("n > 0").groupBy("set").agg(F.min("doc_id").alias("first")).join(labels, "set", "left")
     sets = written(sets.withColumn("label", F.coalesce("label", "set")))
