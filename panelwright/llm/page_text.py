@@ -280,7 +280,7 @@ def _examples(texts: list[bytes]) -> list[list]:
     """Features and labels of the nodes whose part is plain; every second page hides the signs."""
     rows, labels = [], []
     for k, t in enumerate(texts):
-        page = Page(t.decode())
+        page = Page(t.decode("utf-8", "replace"))
         x, (main, away) = features(page), _signs(page)
         plain = [(i, 0.0 if away[i] else 1.0) for i in range(1, len(page.tag)) if (away[i] or main[i]) and page.tag[i] not in HIDDEN]
         if len(t) % 2:
@@ -372,14 +372,14 @@ def main_text(page: Page, keep: np.ndarray) -> str:
 def extract(pages: DataFrame, sample: int = SAMPLE_PAGES) -> DataFrame:
     """``page_id, url, text, n_chars`` of every page.
 
-    NULL or empty html gives an empty text; markup that never ends runs to the end of the page; rows that repeat are each
-    extracted; further columns don't matter; an empty table gives no rows. See ``fit`` for the bounded training sample.
+    NULL or empty html gives an empty text; bytes that aren't UTF-8 become replacement characters; markup that never ends runs
+    to the end of the page; rows that repeat are each extracted; further columns don't matter; an empty table gives no rows. See ``fit`` for the bounded training sample.
     """
     trees = fit(pages, sample)
 
     def make():
         def compute(texts: list[bytes]) -> list[list]:
-            tree = [Page(t.decode()) for t in texts]
+            tree = [Page(t.decode("utf-8", "replace")) for t in texts]
             x = [features(p) for p in tree]
             ends = np.cumsum([len(v) for v in x])
             if trees:

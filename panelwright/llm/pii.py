@@ -212,7 +212,7 @@ def detect(docs: DataFrame) -> DataFrame:
         def compute(texts: list[bytes]) -> list[list]:
             out = []
             for t in texts:
-                text = t.decode()
+                text = t.decode("utf-8", "replace")
                 row: list[int] = []
                 for kind, s, e, base in candidates(text):
                     row += [KINDS.index(kind), s, e, _code(kind, votes(text, kind, s, e, base), e - s, base)]
@@ -226,8 +226,9 @@ def find_private(docs: DataFrame) -> DataFrame:
     """One row per document: ``doc_id``, base counts ``n_email, n_ip, n_card, n_phone``, ``base_sha256``, ``spans, n_added``.
 
     Base spans always stay; the classifier adds others that score at least ``LEAST``, the best first and none that
-    overlaps. Places are code points, the end is exclusive. NULL and empty texts have no spans. Rows that
-    repeat are each searched; further columns don't matter; an empty table gives no rows.
+    overlaps. Places are code points, the end is exclusive. NULL and empty texts have no spans; bytes
+    that aren't UTF-8 count as replacement characters. Rows that repeat are each searched; further columns don't matter; an
+    empty table gives no rows.
     """
     found = written(detect(docs.select("doc_id", "text")))
     places = F.transform(F.sequence(F.lit(3), F.size("candidates") - 1, F.lit(4)), lambda i: F.get("candidates", i))

@@ -150,7 +150,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
                 n_removed.append(removed)
                 digests.append(hashlib.sha256(text).hexdigest())
                 if texts:
-                    kept.append(text.decode())
+                    kept.append(text.decode("utf-8", "replace"))
         yield pa.RecordBatch.from_arrays(
             [pa.array(block.ids, pa.int64()), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(digests, pa.string()),
              *([pa.array(kept, pa.string())] if texts else [])],
