@@ -22,8 +22,8 @@ def quantile_name(q: float) -> str:
     return "q_" + f"{q:g}".replace(".", "_")
 
 
-def _fits(df: DataFrame, spec: PanelSpec, keys: list[str]) -> DataFrame:
-    """One row of sufficient statistics per key. ``_rn`` counts back from 1 on the last
+def _fits(df: DataFrame, spec: PanelSpec, keys: list[str], *more: Column) -> DataFrame:
+    """One row of sufficient statistics per key, and the aggregates ``more``. ``_rn`` counts back from 1 on the last
     fitted row; rows with ``_rn`` under 1 lie ahead of it and are not used."""
     rn, x = F.col("_rn"), F.when(F.col("_rn") >= 1, F.col(spec.target))
     t = F.when(rn >= 1, (1 - rn).cast("double"))          # 0 on the last row, so step s is t = s
@@ -35,7 +35,7 @@ def _fits(df: DataFrame, spec: PanelSpec, keys: list[str]) -> DataFrame:
     for d in range(7):
         on = (weekday == d) & x.isNotNull()
         aggs += [F.avg(F.when(on, x)).alias(f"_x{d}"), F.avg(F.when(on, t)).alias(f"_t{d}")]
-    return df.groupBy(*keys).agg(*aggs)
+    return df.groupBy(*keys).agg(*aggs, *more)
 
 
 def _predictions() -> dict[str, Column]:
@@ -80,10 +80,10 @@ def backtest(train: DataFrame, spec: PanelSpec, opts: ForecastOptions = Forecast
     rows = train.withColumn("_back", F.row_number().over(in_reverse(spec))).withColumn("window_no", F.explode(numbers))
     rows = rows.withColumn("_rn", F.col("_back") - F.col("window_no") * opts.val_step - h).where(F.col("_rn") > -h)
     keys = [spec.id, "window_no"]
-    ahead = rows.groupBy(*keys).agg(F.collect_list(F.when(F.col("_rn") < 1, F.struct(
-        (1 - F.col("_rn")).alias("step"), F.col(spec.ts).alias("day"), F.col(spec.target).alias("actual")))).alias("_ahead"))
-    fits = _fits(rows, spec, keys).where(F.col("_last").isNotNull())
-    steps = fits.join(ahead, keys).withColumn("_a1", F.explode("_ahead")).withColumn("step", F.col("_a1.step"))
+    ahead = F.collect_list(F.when(F.col("_rn") < 1, F.struct(
+        (1 - F.col("_rn")).alias("step"), F.col(spec.ts).alias("day"), F.col(spec.target).alias("actual")))).alias("_ahead")
+    fits = _fits(rows, spec, keys, ahead).where(F.col("_last").isNotNull())
+    steps = fits.withColumn("_a1", F.explode("_ahead")).withColumn("step", F.col("_a1.step"))
     return steps.select(*keys, F.col("_a1.day").alias(spec.ts), "step", F.col("_a1.actual").alias("actual"),
                         *[c.alias(m) for m, c in _predictions().items()])
 
