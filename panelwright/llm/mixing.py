@@ -11,11 +11,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwright.llm.text import word_array
-from panelwright.scale import written
+from panelwright.scale import attach, numbered, written
 
-# Rows that one task orders within a queue.
-QUEUE_ROWS = 5_000
 ROUNDS = 2
+# Parts of a queue at whose ends the finish time of ``mix`` is exact.
+KNOT_BITS = 4
+KNOTS = 1 << KNOT_BITS
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5,
@@ -63,14 +64,53 @@ def _cumulative(df: DataFrame, keys: list[str], order: list[str], value: str, bu
 
 def mix(docs: DataFrame, seed: int = 7, **shares) -> DataFrame:
     """The mix: one row per taken copy, with all columns of ``docs`` and ``size, source_size, target, round,
-    virtual_finish``, by which it is in order. Columns of these names in ``docs`` are replaced. See ``allotments``."""
-    held = written(_keyed(docs, seed))
-    slim = held.select("_uid", "source", "_size", "_row")
-    taken = _taken(slim, source_targets(slim.select("source", F.col("_size").alias("size")), **shares), shares)
-    picked = taken.select("_uid", F.col("_size").alias("size"), "source_size", "target",
-                          F.col("_round").alias("round"), F.col("_finish").alias("virtual_finish"))
-    given = [c for c in docs.columns if c not in picked.columns]
-    return held.select("_uid", *given).join(picked, "_uid").drop("_uid")
+    virtual_finish``, by which it is to be ordered. Columns of these names in ``docs`` are replaced. See ``allotments``.
+
+    What a source gives is a prefix of its queue, so one cut for each source, found on rows without texts, decides every
+    copy, and texts are filtered where they are read. ``virtual_finish`` is exact at the ends of ``KNOTS`` equal parts of the
+    queue and follows the shuffled order in between.
+    """
+    keyed = _keyed(docs, seed).drop("_uid").withColumn("_queue", _queue(F.col("source")))
+    slim = written(_keyed(docs, seed).select("_uid", "source", "_size", "_row"))
+    targets = source_targets(slim.select("source", F.col("_size").alias("size")), **shares)
+    cuts = written(_cuts(slim, targets, _taken(slim, targets, shares)))
+    given = [c for c in docs.columns if c not in ("size", "source_size", "target", "round", "virtual_finish")]
+    rows = attach(keyed.where(F.col("_size") > 0), cuts, ["_queue"]).where("_cut_round IS NOT NULL")
+    at_cut = F.col("_row") == F.col("_cut_row")
+    whole = (F.col("_row") < F.col("_cut_row")) | at_cut & (F.col("_n") == F.col("_many"))
+    last = F.when(whole, F.col("_cut_round")).otherwise(F.col("_cut_round") - 1)
+    copies = rows.where(last >= 0).withColumn("round", F.explode(F.sequence(F.lit(0), last)))
+    # equal rows of which the cut takes some: any of them will do, as many as it takes
+    if not cuts.where("_n < _many").isEmpty():
+        equal = numbered(rows.where(at_cut & (F.col("_n") < F.col("_many"))), ["_queue", "_row"], "_place")
+        first = equal.groupBy("_queue").agg(F.min("_place").alias("_first"))
+        some = attach(equal, written(first), ["_queue"]).where(F.col("_place") - F.col("_first") < F.col("_n"))
+        copies = copies.unionByName(some.drop("_place", "_first").withColumn("round", F.col("_cut_round")))
+    part = F.shiftright("_row", 63 - KNOT_BITS).cast("int")
+    inside = (F.col("_row") - F.shiftleft(part.cast("long"), 63 - KNOT_BITS)) / F.lit(float(1 << (63 - KNOT_BITS)))
+    before = F.aggregate(F.slice("_knots", 1, part), F.lit(0).cast("long"), lambda a, x: a + x)
+    reached = before + F.element_at("_knots", part + 1) * inside + F.col("round") * F.col("source_size")
+    return copies.select(*given, F.col("_size").alias("size"), "source_size", "target", "round", (reached / F.col("target")).alias("virtual_finish"))
+
+
+def _queue(source: Column) -> Column:
+    """A key of its own for every source, NULL too."""
+    return F.coalesce(F.concat(F.lit("v"), source), F.lit("n"))
+
+
+def _cuts(slim: DataFrame, targets: DataFrame, taken: DataFrame) -> DataFrame:
+    """One row per source that gives something: ``_queue``, its target, the last ``_cut_round`` and ``_cut_row`` taken, how many rows of this
+    last key are taken (``_n``) and exist (``_many``), and the sizes of the queue's parts in ``_knots``."""
+    last = F.struct("_round", "_row")
+    by_key = taken.groupBy(_queue(F.col("source")).alias("_queue"), "_round", "_row").agg(F.count(F.lit(1)).alias("_n"))
+    ends = written(by_key.groupBy("_queue").agg(F.max(last).alias("_last"), F.max_by("_n", last).alias("_n")).select(
+        "_queue", F.col("_last._round").alias("_cut_round"), F.col("_last._row").alias("_cut_row"), "_n"))
+    queued = slim.where(F.col("_size") > 0).select(_queue(F.col("source")).alias("_queue"), "_size", "_row")
+    part = F.shiftright("_row", 63 - KNOT_BITS)
+    about = attach(queued, ends, ["_queue"]).groupBy("_queue").agg(
+        F.count_if(F.col("_row") == F.col("_cut_row")).alias("_many"),
+        F.array(*[F.coalesce(F.sum(F.when(part == k, F.col("_size"))), F.lit(0)) for k in range(KNOTS)]).alias("_knots"))
+    return ends.join(about, "_queue").join(targets.select(_queue(F.col("source")).alias("_queue"), "source_size", "target"), "_queue")
 
 
 def allotments(docs: DataFrame, seed: int = 7, **shares) -> DataFrame:
@@ -100,7 +140,8 @@ def _keyed(docs: DataFrame, seed: int) -> DataFrame:
 def _taken(slim: DataFrame, targets: DataFrame, shares: dict) -> DataFrame:
     """The copies that fit the budget, with their virtual finish time."""
     slim = slim.select("_uid", "source", "_size", "_row").where(F.col("_size") > 0)
-    bits = max(1, (slim.count() // QUEUE_ROWS).bit_length())
+    # buckets of a queue grow as the square root of the table: neither what one task orders nor the list of starts gets long
+    bits = max(1, (int(slim.count() ** 0.5) // 8).bit_length())
     slim = slim.withColumn("_bucket", F.shiftright("_row", 63 - bits))
     queued = _cumulative(slim, ["source"], ["_row", "_uid"], "_size", "_bucket", "_cum").drop("_bucket")
     copies = (queued.withColumn("_round", F.explode(F.array(*[F.lit(i) for i in range(ROUNDS)])))

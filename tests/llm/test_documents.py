@@ -5,13 +5,14 @@ import hashlib
 import itertools
 import random
 import re
+import time
 import zlib
 
 import numpy as np
 import pytest
 
-from panelwright.llm import (deleted_interpolation, jaccard_regions, line_spread, mixing, pii, quality, seed_extend,
-                             string_tiling)
+from panelwright.llm import (deleted_interpolation, jaccard_regions, line_spread, mixing, page_text, pii, quality, seed_extend,
+                             string_tiling, text)
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size string, label string, `set` string, n string"
 
@@ -103,10 +104,10 @@ def test_frames_stay_small_where_regions_are_large(spark, monkeypatch, tmp_path)
     rows = [(i, " ".join([f"h{k}" for k in range(36)] + [f"x{i}_{k}" for k in range(8)]), "s") for i in range(150)]
     join, folder = jaccard_regions._join_groups, str(tmp_path)
 
-    def spied(frame):
+    def spied(frame, texts):
         with open(f"{folder}/{frame['bucket'].iloc[0]}", "w") as f:
             f.write(str(len(frame)))
-        return join(frame)
+        return join(frame, texts)
     monkeypatch.setattr(jaccard_regions, "BLOCK", 5)
     monkeypatch.setattr(jaccard_regions, "BUCKET_ROWS", 300)
     monkeypatch.setattr(jaccard_regions, "_join_groups", spied)
@@ -150,6 +151,47 @@ def test_language_model(spark, corpus):
     assert np.allclose([g[5] for g in got], [w[5] for w in want], atol=1e-3)
     out = [r for r in rows if r.held_out]
     assert sum(r.score for r in out) > sum(r.base_score for r in out)
+    # the same scores from plain counts, order by order
+    part = {k: 0 if i is None else zlib.crc32(str(i).encode()) % 5 for k, (i, _, _) in enumerate(corpus)}
+    padded = {k: ["<", "<", *w] for k, w in tokens.items()}
+
+    def grams_of(docs, length):
+        return collections.Counter(tuple(w[j - length + 1:j + 1]) for k in docs for w in [padded[k]] for j in range(2, len(w)))
+
+    def contexts_of(docs, length):
+        return collections.Counter(tuple(w[j - length + 1:j]) for k in docs for w in [padded[k]] for j in range(2, len(w)))
+
+    def model(docs):
+        one = grams_of(docs, 1)
+        return sum(one.values()), len(one), one, {m: (grams_of(docs, m), contexts_of(docs, m)) for m in (2, 3)}
+
+    def chance(w, j, known, weights):
+        total, different, one, more = known
+        p = (one[(w[j],)] + 0.5) / (total + 0.5 * (different + 1))
+        for m, weight in zip((2, 3), weights):
+            both, context = more[m][0][tuple(w[j - m + 1:j + 1])], more[m][1][tuple(w[j - m + 1:j])]
+            if context:
+                share = weight[min(deleted_interpolation.BUCKETS - 1, context.bit_length() - 1)]
+                p = share * both / context + (1 - share) * p
+        return p
+    for order in (2, 3):
+        less, weights = model([k for k in tokens if part[k] not in (1, 2)]), []
+        for m in range(2, order + 1):
+            seen = collections.Counter()
+            for k in (k for k in tokens if part[k] == 2):
+                for j in range(2, len(padded[k])):
+                    w = padded[k]
+                    both, context = less[3][m][0][tuple(w[j - m + 1:j + 1])], less[3][m][1][tuple(w[j - m + 1:j])]
+                    if context:
+                        step = np.log(both / context / chance(w, j, less, weights)) if both else None
+                        place = -1 if step is None else int(np.clip((step - deleted_interpolation.LOWEST) / deleted_interpolation.BIN, 0, deleted_interpolation.BINS - 1))
+                        seen[context.bit_length() - 1, place] += 1
+            weights.append(deleted_interpolation.learn_weights(sorted((a, b, c) for (a, b), c in seen.items())))
+        whole = model([k for k in tokens if part[k] != 1])
+        want = sorted((str(corpus[k][0]), len(w) - 2, sum(np.log10(chance(w, j, whole, weights)) for j in range(2, len(w)))) for k, w in padded.items())
+        rows = deleted_interpolation.score_texts(docs_of(spark, corpus), order).collect()
+        got = sorted((str(r.doc_id), r.n_tokens, r.score) for r in rows)
+        assert np.allclose([g[2] for g in got], [w[2] for w in want], rtol=1e-4, atol=1e-2)
     # a distribution: what follows one context sums to less than 1
     weights = deleted_interpolation.learn_weights([(0, -1, 10), (3, 200, 50), (3, -1, 50)])
     assert 0 < weights[0] < 0.2 and 0.3 < weights[3] < 0.6
@@ -247,11 +289,46 @@ def test_mix(spark):
     assert sum(taken.values()) <= 1.5 * sum(size.values())
     again = mixing.allotments(docs.repartition(5)).collect()
     assert sorted(map(str, again)) == sorted(map(str, got))
+    # the queue itself: every source in the order of its keys, twice, and all copies by finish time up to the budget
+    keyed = mixing._keyed(docs, 7).select("doc_id", "text", "source", "_size", "_row", "_uid").collect()
+    copies = []
+    for s in names:
+        reached = 0
+        for r in sorted((r for r in keyed if r.source == s and r._size), key=lambda r: (r._row, r._uid)):
+            reached += r._size
+            copies += [((reached + k * size[s]) / target[s], s is not None, s or "", k, r._row, r._uid, r) for k in (0, 1) if reached + k * size[s] - r._size < target[s]]
+    total, plain = 0, collections.Counter()
+    for c in sorted(copies, key=lambda c: c[:6]):
+        total += c[-1]._size
+        if total <= 1.5 * sum(size.values()):
+            plain[c[-1].doc_id, c[-1].text, c[-1].source, c[3]] += 1
     mixed = mixing.mix(docs)
+    rows_of = mixed.collect()
+    assert collections.Counter((r.doc_id, r.text, r.source, r["round"]) for r in rows_of) == plain
+    of_doc = collections.Counter()
+    for (i, t, _, _), k in plain.items():
+        of_doc[i, len(words_of(t))] += k * len(words_of(t))
+    held = collections.Counter()
+    for r in got:
+        held[r.doc_id, r.size] += r.taken
+    assert +held == +of_doc
+    for s in names:     # finish times follow the queue
+        own = sorted((r["round"], r.virtual_finish) for r in rows_of if r.source == s)
+        assert all(0 <= f <= 2 * size[s] / target[s] + 1e-9 for _, f in own) and max([f for k, f in own if k == 0], default=0) <= min([f for k, f in own if k], default=9e9)
     assert mixed.columns[:2] == ["doc_id", "text"] and mixed.columns.count("size") == 1
     assert sum(len(words_of(r.text)) for r in mixed.collect()) == sum(taken.values())
 
 
+def test_mix_takes_some_of_equal_rows(spark):
+    rows = [(5, "equal words in every row", "hot")] * 90 + [(i + 10, f"word {i} " * 3, "a") for i in range(30)]
+    docs = docs_of(spark, rows).repartition(6)
+    total = sum(len(words_of(t)) for _, t, _ in rows)
+    mixed = mixing.mix(docs, share=0.4, most=2.0).collect()
+    taken = mixing.allotments(docs, share=0.4, most=2.0).collect()
+    assert 0 < sum(r.source == "hot" for r in mixed) < 90
+    assert sum(r.size for r in mixed) == sum(r.taken for r in taken) <= 0.4 * total
+
+
 def test_lines(spark):
     hot, rows = "  Subscribe to our newsletter ", []
     for i in range(60):
@@ -320,6 +397,60 @@ def test_tiling(spark, monkeypatch):
     assert len(none) == len(rows) and all(r.coverage == 0 and r.item_id is None for r in none)
 
 
+def plain_tiles(doc, item, tile):
+    """Mark the longest agreeing run of unmarked words, the first in the item, then in the document, again and again."""
+    free_d, free_i, out = [True] * len(doc), [True] * len(item), []
+    while True:
+        best = (tile - 1, 0, 0)
+        for a in range(len(item)):
+            for b in range(len(doc)):
+                n = 0
+                while a + n < len(item) and b + n < len(doc) and item[a + n] == doc[b + n] and free_i[a + n] and free_d[b + n]:
+                    n += 1
+                best = max(best, (n, -a, -b)) if n > best[0] else best
+        n, a, b = best[0], -best[1], -best[2]
+        if n < tile:
+            return out
+        out.append((a, b, n))
+        free_i[a:a + n], free_d[b:b + n] = [False] * n, [False] * n
+
+
+def test_tiles_of_repetitive_texts():
+    rng = np.random.default_rng(12)
+    for k in range(60):
+        doc, item = (rng.integers(0, int(rng.integers(1, 4)), int(rng.integers(3, 40))) for _ in range(2))
+        doc, item = text.mix(doc.astype(np.uint64)), text.mix(item.astype(np.uint64))
+        tile = int(rng.integers(2, 5))
+        want = plain_tiles(doc.tolist(), item.tolist(), tile)
+        assert string_tiling.tiles_by_length(doc, item, tile) == want
+        pairs = [(b, a) for a in range(len(item) - tile + 1) for b in range(len(doc) - tile + 1) if (item[a:a + tile] == doc[b:b + tile]).all()]
+        if pairs:
+            assert string_tiling.tiles(np.array([b for b, _ in pairs]), np.array([a for _, a in pairs]), tile) == want
+
+
+def test_repeated_words_on_both_sides_take_moderate_time():
+    rng = np.random.default_rng(13)
+    two = " ".join(rng.choice(["no", "yes"], 20_000))
+    texts = [b"same " * 20_000, b"a b c " * 7_000, two.encode(), b"same " * 300 + b"other"]
+    seeds = string_tiling.Seeds([1, 2, 3], [b"same " * 20_000, b"same " * 400, two[30:].encode()], 5)
+    compute = string_tiling._tiler(seeds, 0.5)
+    started = time.time()
+    share, item, covered, laid, items, *_ = compute(texts[:1])
+    assert time.time() - started < 1
+    assert (share, item, covered, laid, items) == ([1.0], [1], [20_000], [[0, 0, 20_000]], [[1, 2]])
+    share, item, *_ = compute(texts[1:])
+    assert item == [None, 3, 2] and share[1] == 1.0 and share[2] == 0.75 and time.time() - started < 20
+
+
+def test_bytes_that_are_no_text(spark):
+    df = spark.createDataFrame([(1, bytearray(b"mail a.b@c.de \xff\xfe end +1 555 123 4567")), (2, bytearray(b"\x80")), (3, None)], "doc_id long, raw binary")
+    docs = df.select("doc_id", df["raw"].cast("string").alias("text"))
+    rows = {r.doc_id: r for r in pii.find_private(docs).collect()}
+    assert (rows[1].n_email, rows[1].n_phone, rows[2].n_email, rows[3].n_email) == (1, 1, 0, 0)
+    pages = df.select(df["doc_id"].alias("page_id"), df["doc_id"].cast("string").alias("url"), df["raw"].cast("string").alias("html"))
+    assert {r.page_id: len(r.text) == r.n_chars for r in page_text.extract(pages).collect()} == {1: True, 2: True, 3: True}
+
+
 def test_every_item_of_a_page_is_listed(spark, monkeypatch):
     items = [(k, " ".join(f"q{k}_{j}" for j in range(12))) for k in range(6)]
     items += [(6, items[2][1]), (7, items[2][1]), (7, items[2][1]), (8, "Short one"), (9, f"{items[0][1]} and {items[1][1]}")]
