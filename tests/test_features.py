@@ -10,6 +10,7 @@ from panelwright.functions import calendar as cal
 from panelwright.functions.holidays import holiday_days
 from panelwright.operators import asof, cleanup, cross, recent, windows
 from panelwright.plans.features import build_features, raw_features
+from panelwright.spec import FeatureOptions
 
 SPEC = PanelSpec()
 N = None
@@ -43,6 +44,20 @@ def test_ewm_matches_pandas(panel_of, by_series, random_series, span):
         same(got[name], pd.Series(x, dtype=float).ewm(span=span, adjust=False).mean())
 
 
+def test_ewm_of_any_span(panel_of, by_series, random_series):
+    """Spans of one row up to a thousand, several columns, negative values and long series."""
+    series = random_series | {"long": np.random.default_rng(8).normal(0, 50, 1500).tolist()}
+    other = {k: [None if v is None else float(-2.0 * v) for v in x[::-1]] for k, x in series.items()}
+    opts = FeatureOptions(ewm={"sales": (1, 2, 28, 1000), "price": (3,), "absent": (5,)})
+    got = windows.ewm(panel_of(series, price=other), SPEC, opts).cache()
+    assert got.columns == ["sku", "date", "sales", "price", "sales_ewm_1", "sales_ewm_2", "sales_ewm_28", "sales_ewm_1000", "price_ewm_3"]
+    for column, values, spans in (("sales", series, (1, 2, 28, 1000)), ("price", other, (3,))):
+        for span in spans:
+            found = by_series(got, f"{column}_ewm_{span}")
+            for name, x in values.items():
+                same(found[name], pd.Series(x, dtype=float).ewm(span=span, adjust=False).mean())
+
+
 def test_rolling_and_lags_match_pandas(panel_of, by_series, random_series):
     df = windows.rolling(windows.lags(panel_of(random_series), SPEC), SPEC)
     for name, x in random_series.items():
